@@ -1,0 +1 @@
+"""Empty on purpose: every analysis step here reads complete tables; no step is a stream."""
