@@ -53,7 +53,7 @@ def running_counts(
     descending: bool = False,
     pieces: int = PIECES,
 ) -> DataFrame:
-    """One row per group and distinct value: ``n``, ``cum`` (rows up to and with it), ``total``."""
+    """One row per group and distinct value: ``n``, ``cum`` (rows up to and with it), ``group_n``."""
     keys = as_list(by)
     src = df.where(F.col(value).isNotNull())
     n = F.sum(weight) if weight else F.count(F.lit(1))
@@ -74,7 +74,7 @@ def running_counts(
     return (
         cut.withColumn("_inner", inner)
         .join(offsets, [*gkeys, "_piece"])
-        .select(*keys, value, "n", (F.col("_before") + F.col("_inner")).alias("cum"), F.col("_total").alias("total"))
+        .select(*keys, value, "n", (F.col("_before") + F.col("_inner")).alias("cum"), F.col("_total").alias("group_n"))
     )
 
 
@@ -155,13 +155,13 @@ def quantiles(
     runs = running_counts(df, keys, value, weight=weight)
     aggs: list[Column] = []
     for name, p in probs.items():
-        lo = F.floor((F.col("total") - 1) * F.lit(float(p)))
-        hi = F.least(lo + 1, F.col("total") - 1)
+        lo = F.floor((F.col("group_n") - 1) * F.lit(float(p)))
+        hi = F.least(lo + 1, F.col("group_n") - 1)
         aggs += [
             F.min(F.when(F.col("cum") > lo, F.col(value))).cast("double").alias(f"_{name}_a"),
             F.min(F.when(F.col("cum") > hi, F.col(value))).cast("double").alias(f"_{name}_b"),
         ]
-    wide = runs.groupBy(*keys).agg(F.max("total").alias("_n"), *aggs)
+    wide = runs.groupBy(*keys).agg(F.max("group_n").alias("_n"), *aggs)
     cols = []
     for name, p in probs.items():
         at = (F.col("_n") - 1) * F.lit(float(p))
@@ -192,9 +192,9 @@ def bh_adjust(df: DataFrame, by, p: str = "p_value", out: str = "fdr") -> DataFr
     gkeys = keys or ["_all"]
     src = df if keys else df.withColumn("_all", F.lit(0))
     runs = running_counts(src, gkeys, p).withColumn(
-        "_raw", F.least(F.lit(1.0), F.col(p) * F.col("total") / F.col("cum")))
+        "_raw", F.least(F.lit(1.0), F.col(p) * F.col("group_n") / F.col("cum")))
     # smallest raw value among equal or larger p-values, piece by piece
-    cut = runs.withColumn("_piece", F.least(F.floor(F.col("cum") * PIECES / F.col("total")), F.lit(PIECES - 1)).cast("int"))
+    cut = runs.withColumn("_piece", F.least(F.floor(F.col("cum") * PIECES / F.col("group_n")), F.lit(PIECES - 1)).cast("int"))
     later = (
         cut.groupBy(*gkeys, "_piece").agg(F.min("_raw").alias("_m"))
         .withColumn("_later", F.min("_m").over(

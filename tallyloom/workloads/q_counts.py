@@ -152,10 +152,10 @@ def normalise_total(spark, sf):
 
 
 @query("gene_median_counts", X + f""", nz AS (SELECT batch, gene_id, list(n ORDER BY n) AS v, COUNT(*) AS k FROM g GROUP BY 1, 2),
-  h AS (SELECT *, n_cells - k AS z, (n_cells - 1) * 0.9 AS at FROM nz JOIN cells USING (batch)),
-  p AS (SELECT *, CASE WHEN floor(at) < z THEN 0 ELSE v[CAST(floor(at) - z AS BIGINT) + 1] END AS a,
-  CASE WHEN least(floor(at) + 1, n_cells - 1) < z THEN 0 ELSE v[CAST(least(floor(at) + 1, n_cells - 1) - z AS BIGINT) + 1] END AS b FROM h)
-  SELECT batch, gene_id, {rnd('a + (b - a) * (at - floor(at))')} AS q90 FROM p""")
+  h AS (SELECT *, n_cells - k AS z, (n_cells - 1) * 0.9 AS pos FROM nz JOIN cells USING (batch)),
+  p AS (SELECT *, CASE WHEN floor(pos) < z THEN 0 ELSE v[CAST(floor(pos) - z AS BIGINT) + 1] END AS a,
+  CASE WHEN least(floor(pos) + 1, n_cells - 1) < z THEN 0 ELSE v[CAST(least(floor(pos) + 1, n_cells - 1) - z AS BIGINT) + 1] END AS b FROM h)
+  SELECT batch, gene_id, {rnd('a + (b - a) * (pos - floor(pos))')} AS q90 FROM p""")
 def gene_median_counts(spark, sf):
     """90th percentile of counts per gene over all cells: zeros enter as a weight, not as rows."""
     gs = roles.gene_sums(spark, sf)
