@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import ln_factorial, share_logit
 from tallyloom.operators import joins, ordered
+from tallyloom.session import cut_lineage
 
 # Lower bounds tried for the first knee, barcodes skipped at the left end of the
 # curve, number of cuts for the second knee, and the lowest total of its curve.
@@ -29,9 +30,13 @@ def barcode_ranks(totals: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def rank_curve(totals: DataFrame, run: str = "run_id") -> DataFrame:
-    """One row per distinct total: barcodes with it, cumulative barcodes, mean rank."""
+    """One row per distinct total: barcodes with it, cumulative barcodes, mean rank.
+
+    Every later step starts from this small table, so it is written once.
+    """
     runs = ordered.running_counts(totals, run, "total", descending=True)
-    return runs.select(run, "total", "n", "cum", (F.col("cum") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)).alias("rank"))
+    return cut_lineage(
+        runs.select(run, "total", "n", "cum", (F.col("cum") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)).alias("rank")))
 
 
 def _knee_and_shin(points: DataFrame, keys: Sequence[str], skip: float = SKIP_RANKS) -> DataFrame:
@@ -43,14 +48,13 @@ def _knee_and_shin(points: DataFrame, keys: Sequence[str], skip: float = SKIP_RA
     late = F.when(F.col("rank") > skip, 0).otherwise(1)
     spot = F.struct("total", "rank", "x", "y")
     # the steepest fall past the skipped ranks; when all are skipped, the last one
-    first = F.struct(late.alias("a"), F.when(F.col("rank") > skip, F.col("slope")).otherwise(-F.col("rank")).alias("b"), F.col("rank"))
-    right = p.where("slope IS NOT NULL").groupBy(*keys).agg(F.min_by(spot, first).alias("r"))
-    q = p.join(right, keys)
-    left = (
-        q.where((F.col("slope").isNotNull()) & (F.col("rank") <= F.col("r.rank")) & ((F.col("rank") > skip) | (F.col("rank") == F.col("r.rank"))))
-        .groupBy(*keys).agg(F.max_by(spot, F.struct(F.col("slope"), -F.col("rank"))).alias("l"))
-    )
-    z = q.join(left, keys).where(F.col("rank").between(F.col("l.rank"), F.col("r.rank")))
+    steep = F.struct(late.alias("a"), F.when(F.col("rank") > skip, F.col("slope")).otherwise(-F.col("rank")).alias("b"), F.col("rank"))
+    whole = Window.partitionBy(*keys)
+    has_slope = F.col("slope").isNotNull()
+    p = p.withColumn("r", F.min_by(spot, F.when(has_slope, steep)).over(whole))
+    on_left = has_slope & (F.col("rank") <= F.col("r.rank")) & ((F.col("rank") > skip) | (F.col("rank") == F.col("r.rank")))
+    p = p.withColumn("l", F.max_by(spot, F.when(on_left, F.struct(F.col("slope"), -F.col("rank")))).over(whole))
+    z = p.where(F.col("rank").between(F.col("l.rank"), F.col("r.rank")))
     run = F.col("r.x") - F.col("l.x")
     chord = F.when(run > 0, F.col("l.y") + (F.col("x") - F.col("l.x")) * (F.col("r.y") - F.col("l.y")) / F.when(run > 0, run)).otherwise(F.col("y"))
     gap = F.round(F.col("y") - chord, 9)
@@ -165,7 +169,7 @@ def barcode_table(totals: DataFrame, lowers: Sequence[int] = FIRST_LOWERS, min_u
     curve = rank_curve(totals, run)
     k1 = first_knee(curve, lowers, run)
     knees = k1.drop("votes").join(second_knee(curve, k1, min_umis, run=run), run)
-    params = droplet_params(curve, knees, low_count, run)
+    params = cut_lineage(droplet_params(curve, knees, low_count, run))
     ranks = totals.join(curve.select(run, "total", "rank"), [run, "total"])
     cols = [run, "knee1", "shin1", "knee2", "shin2", "expected_cells", "total_droplets_included", "low_count_threshold"]
     return flag_empty_plateau(ranks, curve, params, run).join(params.select(*cols), run)
