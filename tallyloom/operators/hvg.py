@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import counts as C
 from tallyloom.operators import ordered
 from tallyloom.operators.ordered import as_list
+from tallyloom.session import cut_lineage
 
 
 def quantiles_with_zeros(gene_sums: DataFrame, n_cells: DataFrame, probs: Mapping[str, float], by="batch") -> DataFrame:
@@ -116,8 +117,12 @@ def standardised_variance(gene_var: DataFrame, clipped: DataFrame, by="batch") -
 
 
 def gene_variances(gene_sums: DataFrame, n_cells: DataFrame, by="batch", span: float = 0.3, trend: str = "loess") -> DataFrame:
-    """Moments, trend, clipped sums and standardised variance in one go."""
-    stats = variance_trend(C.gene_mean_var(gene_sums, n_cells, by), by, span, trend)
+    """Moments, trend, clipped sums and standardised variance in one go.
+
+    The moments and their trend (one row per gene and group) are written once; the counts are
+    read a second time for the clipped sums.
+    """
+    stats = cut_lineage(variance_trend(C.gene_mean_var(gene_sums, n_cells, by), by, span, trend))
     return standardised_variance(stats, C.clipped_sums(gene_sums, stats, by), by)
 
 
@@ -144,13 +149,13 @@ def highly_variable_genes(stats: DataFrame, n: int = 2000, by="batch", exclude:
     Ties are settled by gene_id.
     """
     keys = as_list(by)
-    src = stats.select(*keys, "gene_id", "variances_norm")
+    src = cut_lineage(stats.select(*keys, "gene_id", "variances_norm"))
     if exclude is not None:
         src = src.join(exclude.select("gene_id").distinct().withColumn("_out", F.lit(True)), "gene_id", "left")
     else:
         src = src.withColumn("_out", F.lit(None).cast("boolean"))
     src = src.withColumn("_v", F.when(F.col("_out").isNull(), F.col("variances_norm")))
-    ranked = ordered.mid_rank(src, keys, "_v", "_rank")
+    ranked = ordered.mid_rank(src, keys, "_v", "_rank", bounded=True)
     n_groups = src.select(*keys).distinct().agg(F.count(F.lit(1)).alias("k")).scalar()
     genes = ranked.groupBy("gene_id").agg(
         F.count_if(F.col("_rank") <= n).alias("_hits"),

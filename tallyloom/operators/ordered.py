@@ -85,9 +85,20 @@ def mid_rank(
     out: str = "rank",
     *,
     descending: bool = True,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Add the mean rank of ties; rows with a NULL value get a NULL rank."""
+    """Add the mean rank of ties; rows with a NULL value get a NULL rank.
+
+    ``bounded=True`` is for groups of known small size (one row per gene of the annotation, per
+    cluster, per sample): a plain window then saves two shuffles and a join.
+    """
     keys = as_list(by)
+    if bounded:
+        c = F.col(value)
+        whole = Window.partitionBy(*keys)
+        ties = F.count(c).over(Window.partitionBy(*keys, value))
+        above = F.rank().over(whole.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last()))
+        return df.withColumn(out, F.when(c.isNotNull(), (above + (ties - 1) / F.lit(2.0)).cast("double")))
     ranks = running_counts(df, keys, value, descending=descending).select(
         *keys, value, (F.col("cum") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)).cast("double").alias(out)
     )
@@ -103,13 +114,18 @@ def positions(
     *,
     descending: bool = True,
     pieces: int = PIECES,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Add 1, 2, 3, ... in order of value, then of the tie column.
+    """Add 1, 2, 3, ... in order of value, then of the tie column; rows without a value drop out.
 
-    A value shared by very many rows is split further by the first six characters of the tie
+    ``bounded=True`` uses a plain window (see ``mid_rank``). Otherwise a value shared by very many rows is split further by the first six characters of the tie
     column, so that no task sorts a whole group.
     """
     keys = as_list(by)
+    if bounded:
+        c = F.col(value)
+        w = Window.partitionBy(*keys).orderBy(c.desc() if descending else c.asc(), F.col(tie).asc())
+        return df.where(c.isNotNull()).withColumn(out, F.row_number().over(w).cast("long"))
     gkeys = keys or ["_all"]
     src = (df if keys else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull())
     src = src.withColumn("_slot", F.substring(F.col(tie).cast("string"), 1, 6)) if _is_text(df, tie) else \
@@ -186,9 +202,15 @@ def mad_by(df: DataFrame, by, value: str, out: str = "mad", centre: str = "centr
     return spread.select(*keys, centre, (F.col("_m") * scale).alias(out))
 
 
-def bh_adjust(df: DataFrame, by, p: str = "p_value", out: str = "fdr") -> DataFrame:
-    """Benjamini-Hochberg adjusted p-values within each group."""
+def bh_adjust(df: DataFrame, by, p: str = "p_value", out: str = "fdr", *, bounded: bool = False) -> DataFrame:
+    """Benjamini-Hochberg adjusted p-values within each group (``bounded``: see ``mid_rank``)."""
     keys = as_list(by)
+    if bounded:
+        c = F.col(p)
+        whole = Window.partitionBy(*keys)
+        raw = F.least(F.lit(1.0), c * F.count(c).over(whole) / F.count(c).over(whole.orderBy(c.asc_nulls_last())))
+        least = F.min("_raw").over(whole.orderBy(c.desc_nulls_last()))
+        return df.withColumn("_raw", raw).withColumn(out, F.when(c.isNotNull(), least)).drop("_raw")
     gkeys = keys or ["_all"]
     src = df if keys else df.withColumn("_all", F.lit(0))
     runs = running_counts(src, gkeys, p).withColumn(

@@ -2,6 +2,8 @@
 
 from tallyloom.workloads import q_counts  # noqa: F401
 from tallyloom.workloads import q_qc  # noqa: F401
+from tallyloom.workloads import q_hvg  # noqa: F401
 from tallyloom.workloads import q_ranks  # noqa: F401
 from tallyloom.workloads import q_pseudobulk  # noqa: F401
+from tallyloom.workloads import q_markers  # noqa: F401
 from tallyloom.workloads import q_labels  # noqa: F401
