@@ -153,7 +153,7 @@ def significant(x, digits: int) -> Column:
     v = _c(x)
     power = F.floor(F.log10(F.when(v != 0, F.abs(v)))) - (digits - 1)
     scale = F.pow(F.lit(10.0), power)
-    return F.when(v == 0, F.lit(0.0)).otherwise(F.round(v / scale, 0) * scale)
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.round(F.round(v / scale, 9), 0) * scale)
 
 
 def signed_log10(p, effect) -> Column:

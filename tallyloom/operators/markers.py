@@ -16,6 +16,7 @@ from tallyloom.functions import signed_log10, significant, stars
 from tallyloom.functions.stats import t_above_change, t_two_sided
 from tallyloom.operators import joins, ordered
 from tallyloom.operators import pseudobulk as P
+from tallyloom.session import cut_lineage
 
 # Smallest fold change tested against (log2), degrees of freedom of the prior.
 MIN_FOLD = 0.2630344058337938  # log2(1.2)
@@ -79,7 +80,8 @@ def nb_statistics(pb: DataFrame, samples: DataFrame, group: str = "cluster", sam
     j = own.join(tot, "gene_id").join(size, group).withColumn("_s", allof).where("_s.k > k")
     yo, qo = F.col("ty") - F.col("y"), F.col("tq") - F.col("q")
     lo, ko = F.col("_s.L") - F.col("L"), F.col("_s.k") - F.col("k")
-    j = j.withColumns({"yo": yo, "qo": qo, "lo": lo, "ko": ko})
+    # one row per group and gene from here on, read three times below
+    j = cut_lineage(j.withColumns({"yo": yo, "qo": qo, "lo": lo, "ko": ko}))
     mean_lib = F.col("_s.L") / F.col("_s.k")
     prior = prior_count / F.col("_s.k")
     r1 = (F.col("y") + prior * F.col("k")) / F.col("L")
@@ -118,7 +120,7 @@ def group_libraries(pb: DataFrame, sample: Sequence[str]) -> DataFrame:
     """Usable libraries of one group of samples (log-MAD outliers dropped), normalised."""
     keys = list(sample)
     libs = P.mad_outliers(P.sample_libraries(pb, keys), None).where(~F.col("is_outlier")).select(*keys)
-    f = P.norm_factors(pb.join(libs, keys, "left_semi"), keys)
+    f = P.norm_factors(cut_lineage(pb.join(libs, keys, "left_semi")), keys)
     return f.select(*keys, F.col("norm_lib_size").alias("lib_size"))
 
 
@@ -130,7 +132,7 @@ def ambient_genes(pb_cells: DataFrame, pb_empty: DataFrame, fdr: float = 0.01, m
         x = pb.select(F.lit(name).alias("side"), F.col(sample).cast("string").alias("sample"), "gene_id", "count")
         both.append(x)
         libs.append(group_libraries(x, ["side", "sample"]))
-    counts, samples = both[0].unionByName(both[1]), libs[0].unionByName(libs[1])
+    counts, samples = both[0].unionByName(both[1]), cut_lineage(libs[0].unionByName(libs[1]))
     common = pb_cells.select("gene_id").intersect(pb_empty.select("gene_id"))
     counts = counts.join(common, "gene_id", "left_semi").where("count > 0")
     keep = P.filter_by_expression(counts, samples, "side", ["side", "sample"])
@@ -168,12 +170,12 @@ def marker_genes(gene_sums: DataFrame, cells: DataFrame, genes: DataFrame, min_c
 def markers_from_pseudobulk(pb: DataFrame, n_cells: DataFrame, genes: DataFrame, min_cells: int = 10, lib: str = "tmm",
                             cluster: str = "cluster", batch: str = "batch") -> DataFrame:
     keys = [cluster, batch]
-    ok = P.usable_samples(pb, n_cells, keys, min_cells)
-    used = pb.select(*keys, "gene_id", "count").join(ok.select(*keys), keys, "left_semi")
+    ok = cut_lineage(P.usable_samples(pb, n_cells, keys, min_cells))
+    used = cut_lineage(pb.select(*keys, "gene_id", "count").join(ok.select(*keys), keys, "left_semi"))
     lc = used.join(ok, keys).withColumn("logcpm", F.ln(F.col("count") / F.col("lib_size") * P.MILLION + P.PSEUDO_CPM))
     libs = ok
     if lib == "tmm":
-        libs = P.norm_factors(used, keys).select(*keys, F.col("norm_lib_size").alias("lib_size"))
+        libs = cut_lineage(P.norm_factors(used, keys).select(*keys, F.col("norm_lib_size").alias("lib_size")))
     keep = P.filter_by_expression(used, libs, cluster, keys)
     test = nb_ql_test(used, libs, cluster, keys, keep)
     means = P.selected_vs_other(P.mean_log_cpm(lc, ok, cluster), ok, cluster)

@@ -79,8 +79,8 @@ def top_markers_tiered(spark, sf):
 @query("show_markers", _MK + """, r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY "PValue", "logFC" DESC, gene_id) AS i FROM mk
   WHERE NOT regexp_matches(gene_type, '(lincRNA|lncRNA|pseudogene)') AND "FDR" < 0.05 AND "logFC" > 0 AND logcpm_sel > ln(51)),
   s AS (SELECT *, exp(logcpm_sel) - 1 AS v FROM r WHERE i <= 10)
-  SELECT cluster, symbol, round(CASE WHEN v = 0 THEN 0 ELSE round(v / pow(10, floor(log10(abs(v))) - 1), 0) * pow(10, floor(log10(abs(v))) - 1) END) + 0.0 AS "CPM",
-  round("logFC", 1) + 0.0 AS log2fc, round(CASE WHEN "FDR" = 0 THEN 0 ELSE round("FDR" / pow(10, floor(log10("FDR")) - 1), 0) * pow(10, floor(log10("FDR")) - 1) END, 6) + 0.0 AS "FDR" FROM s""")
+  SELECT cluster, symbol, round(CASE WHEN v = 0 THEN 0 ELSE round(round(v / pow(10, floor(log10(abs(v))) - 1), 9), 0) * pow(10, floor(log10(abs(v))) - 1) END) + 0.0 AS "CPM",
+  round("logFC", 1) + 0.0 AS log2fc, round(CASE WHEN "FDR" = 0 THEN 0 ELSE round(round("FDR" / pow(10, floor(log10("FDR")) - 1), 9), 0) * pow(10, floor(log10("FDR")) - 1) END, 6) + 0.0 AS "FDR" FROM s""")
 def show_markers(spark, sf):
     return rounded(M.show_markers(line_markers(spark, sf), max_fdr=0.05))
 
@@ -99,8 +99,8 @@ def signed_significance(spark, sf):
 
 
 @query("selected_genes", _MK + """, w AS (SELECT symbol, row_number() OVER (ORDER BY symbol DESC) AS ord FROM (SELECT DISTINCT p_name AS symbol FROM part WHERE p_name LIKE 'small %'))
-  SELECT ord, symbol, gene_type, cluster, round(round(v / pow(10, floor(log10(abs(v))) - 1), 0) * pow(10, floor(log10(abs(v))) - 1)) + 0.0 AS "CPM", round("logFC", 1) + 0.0 AS log2fc,
-  round(CASE WHEN "FDR" = 0 THEN 0 ELSE round("FDR" / pow(10, floor(log10("FDR")) - 1), 0) * pow(10, floor(log10("FDR")) - 1) END, 6) + 0.0 AS "FDR"
+  SELECT ord, symbol, gene_type, cluster, round(round(round(v / pow(10, floor(log10(abs(v))) - 1), 9), 0) * pow(10, floor(log10(abs(v))) - 1)) + 0.0 AS "CPM", round("logFC", 1) + 0.0 AS log2fc,
+  round(CASE WHEN "FDR" = 0 THEN 0 ELSE round(round("FDR" / pow(10, floor(log10("FDR")) - 1), 9), 0) * pow(10, floor(log10("FDR")) - 1) END, 6) + 0.0 AS "FDR"
   FROM (SELECT *, exp(logcpm_sel) - 1 AS v FROM mk JOIN w USING (symbol))""")
 def selected_genes(spark, sf):
     from pyspark.sql import Window
@@ -144,12 +144,12 @@ def marker_panel(spark, sf):
     return M.marker_panel(custom, hv, am)
 
 
-@query("gene_panel_expression", QP.OK + """ SELECT cluster, batch, gene_id, round(logcpm, 6) + 0.0 AS logcpm, printf('%s (%.2e)', p_name, p_retailprice) AS label, cluster = 'cl03' AS is_selected
+@query("gene_panel_expression", QP.OK + """ SELECT cluster, batch, gene_id, round(logcpm, 6) + 0.0 AS logcpm, printf('%s (%.2e)', p_name, CAST(p_size AS DOUBLE)) AS label, cluster = 'cl03' AS is_selected
   FROM lc JOIN part ON gene_id = p_partkey WHERE p_name LIKE 'red %'""")
 def gene_panel_expression(spark, sf):
     pb, n = QP.pb_table(spark, sf)
     g = roles.genes(spark, sf).where("is_mito")
-    return rounded(M.gene_panel_expression(P.log_cpm(pb, n, min_cells=MIN_CELLS), g, "end", "cl03"))
+    return rounded(M.gene_panel_expression(P.log_cpm(pb, n, min_cells=MIN_CELLS), g, "start", "cl03"))
 
 
 @query("smoothed_order", _MK + """, d AS (SELECT cluster, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS p, log10(SUM(exp(logcpm_sel))) AS v FROM mk JOIN part ON gene_id = p_partkey GROUP BY 1, 2),
@@ -238,17 +238,17 @@ def gsea(spark, sf):
     return out.withColumn("leading_edge", F.array_join("leading_edge", ","))
 
 
-@query("gsea_top", _MK + """, r AS (SELECT cluster, p_brand AS pathway, round(least(1, avg("FDR") * 10), 6) AS padj, round(avg("logFC") * 2, 6) AS nes, COUNT(*) AS size
+@query("gsea_top", _MK + """, r AS (SELECT cluster, p_brand AS pathway, round(least(1, avg("FDR") * 10), 6) AS padj, round(SUM("logFC"), 7) AS nes, COUNT(*) AS size
   FROM mk JOIN part ON gene_id = p_partkey GROUP BY 1, 2),
-  m AS (SELECT *, nes > -0.15 AS main_path FROM r),
+  m AS (SELECT *, nes > -3 AS main_path FROM r),
   b AS (SELECT pathway FROM m WHERE main_path AND nes > 0 GROUP BY 1 HAVING MIN(padj) < 0.13),
   t AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY padj, pathway) AS i FROM m WHERE main_path AND nes > 0 AND pathway IN (SELECT pathway FROM b) AND size BETWEEN 10 AND 100000),
   s AS (SELECT DISTINCT pathway FROM t WHERE i <= 3)
-  SELECT cluster, pathway, padj + 0.0 AS padj, nes + 0.0 AS nes, size, main_path, round(log10(padj), 6) + 0.0 AS log_p, lower(pathway) AS path_name, substr(lower(pathway), 1, 7) AS path_short,
+  SELECT cluster, pathway, padj + 0.0 AS padj, nes + 0.0 AS nes, size, main_path, round(log10(padj), 7) + 0.0 AS log_p, lower(pathway) AS path_name, substr(lower(pathway), 1, 7) AS path_short,
   CASE WHEN padj < 0.13 THEN 'significant' ELSE 'not' END AS signif FROM m WHERE pathway IN (SELECT pathway FROM s)""")
 def gsea_top(spark, sf):
     m = line_markers(spark, sf).join(roles.genes(spark, sf).select("gene_id", F.col("chromosome").alias("pathway")), "gene_id")
     r = m.groupBy("cluster", "pathway").agg(F.round(F.least(F.lit(1.0), F.avg("FDR") * 10.0), 6).alias("padj"),
-                                            F.round(F.avg("logFC") * 2.0, 6).alias("nes"), F.count(F.lit(1)).alias("size"))
-    r = r.withColumn("main_path", F.col("nes") > -0.15)
-    return rounded(G.gsea_top(r, 3, 0.13, (10, 100000), True, 7))
+                                            F.round(F.sum("logFC"), 7).alias("nes"), F.count(F.lit(1)).alias("size"))
+    r = r.withColumn("main_path", F.col("nes") > -3)
+    return rounded(G.gsea_top(r, 3, 0.13, (10, 100000), True, 7), 7)
