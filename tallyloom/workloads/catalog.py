@@ -7,3 +7,8 @@ from tallyloom.workloads import q_ranks  # noqa: F401
 from tallyloom.workloads import q_pseudobulk  # noqa: F401
 from tallyloom.workloads import q_markers  # noqa: F401
 from tallyloom.workloads import q_labels  # noqa: F401
+from tallyloom.workloads import q_tags  # noqa: F401
+from tallyloom.workloads import q_ambient  # noqa: F401
+from tallyloom.workloads import q_embed  # noqa: F401
+from tallyloom.workloads import q_tables  # noqa: F401
+from tallyloom.workloads import q_checks  # noqa: F401
