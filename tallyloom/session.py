@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +24,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+    """Write ``df`` to the shared checkpoint folder and go on from the written table.
 
-    Used between the rounds of iterative operators and where one table feeds many
-    branches. The result survives the loss of executors.
+    Used between the rounds of iterative operators and where one table feeds many branches. The
+    result survives the loss of executors, and its true size lets later joins choose well (the
+    size estimate of a chain of joins would grow with every round).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:

@@ -12,3 +12,4 @@ from tallyloom.workloads import q_ambient  # noqa: F401
 from tallyloom.workloads import q_embed  # noqa: F401
 from tallyloom.workloads import q_tables  # noqa: F401
 from tallyloom.workloads import q_checks  # noqa: F401
+from tallyloom.workloads import q_stages  # noqa: F401
