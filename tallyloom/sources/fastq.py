@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.readers import numbered_lines
+
 # File pattern, mate pattern, barcode length, least read length of the long layout,
 # overlap below which a guess is doubtful.
 FASTQ_PATTERN = r".+\.fastq\.gz$"
@@ -50,16 +52,10 @@ def pair_fastqs(files: DataFrame, runs: DataFrame, run: str = "run_id") -> DataF
 def fastq_reads(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
     """Reads of FASTQ files: file, read_no, sequence, barcode (first 16 bases), read_length.
 
-    Records are found by their header: a line with ``@`` whose next-but-one line is the ``+`` line.
-    Splitting on newline + ``@`` would break on quality lines that begin with ``@``, so the record is
-    taken as four lines by the reader's own separator-free line order within each file part. Gzip
-    files are one part each.
+    A record is four lines; its second line is the sequence. ``n`` keeps the first reads of a file.
     """
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("_id"))
-    first = lines.groupBy("file").agg(F.min("_id").alias("_first"))
-    x = lines.join(first, "file").withColumn("_n", F.col("_id") - F.col("_first"))
-    seq = x.where(F.col("_n") % 4 == 1)  # second line of each record
-    out = seq.select("file", (F.floor(F.col("_n") / 4) + 1).alias("read_no"), F.col("value").alias("sequence"),
+    seq = numbered_lines(spark, path).where(F.col("line_no") % 4 == 1)
+    out = seq.select("file", (F.floor(F.col("line_no") / 4) + 1).alias("read_no"), F.col("value").alias("sequence"),
                      F.substring("value", 1, BARCODE_LENGTH).alias("barcode"), F.length("value").alias("read_length"))
     return out.where(F.col("read_no") <= n) if n is not None else out
 

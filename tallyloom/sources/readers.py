@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import make_key
@@ -18,25 +18,32 @@ def read_counts(spark: SparkSession, path: str, run_id: str | None = None) -> Da
     return x.withColumn("cell_id", make_key("run_id", "barcode", sep=":")) if {"run_id", "barcode"} <= set(x.columns) else x
 
 
-def _numbered_names(spark: SparkSession, path: str, name: str, index: str) -> DataFrame:
-    """Lines of a name file with their line number from 1."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n\r")), "\r?\n")).alias("i", name))
-    return lines.select((F.col("i") + 1).cast("long").alias(index), F.trim(F.col(name)).alias(name))
+def numbered_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of text files with their number from 0 within the file: file, line_no, value.
 
+    Ids rise within a split; the splits' line counts (a few rows per file) give the offsets.
+    """
+    x = spark.read.text(path).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("_id"))
+    x = x.withColumn("_part", F.shiftright("_id", 33))
+    parts = x.groupBy("file", "_part").agg(F.min("_id").alias("_lo"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    return x.join(parts, ["file", "_part"]).select("file", (F.col("_id") - F.col("_lo") + F.col("_before")).alias("line_no"), "value")
 
-def read_mtx(spark: SparkSession, mtx: str, rows: str, cols: str, run_id: str) -> DataFrame:
-    """MatrixMarket triplets with their row (barcode) and column (feature) name files.
 
-    The triplets are read in splits. The size line, the first after the comments, is told from the
-    triplets by the file's line order; name files hold one line per barcode or feature.
-    """
-    raw = spark.read.text(mtx).where(~F.col("value").startswith("%")).withColumn("_o", F.monotonically_increasing_id())
-    head = raw.agg(F.min("_o").alias("m")).scalar()
+def read_mtx(spark: SparkSession, mtx: str, rows: str, cols: str, run_id: str) -> DataFrame:
+    """MatrixMarket triplets with their row (barcode) and column (feature) name files."""
+    raw = numbered_lines(spark, mtx).where(~F.col("value").startswith("%"))
+    head = raw.agg(F.min("line_no").alias("m")).scalar()  # the size line
     f = F.split(F.trim("value"), r"\s+")
-    t = raw.withColumn("_h", head).where(F.col("_o") != F.col("_h")).select(
+    t = raw.withColumn("_h", head).where(F.col("line_no") > F.col("_h")).select(
         f.getItem(0).cast("long").alias("_i"), f.getItem(1).cast("long").alias("_j"), f.getItem(2).cast("double").alias("count"))
-    r, c = _numbered_names(spark, rows, "barcode", "_i"), _numbered_names(spark, cols, "feature", "_j")
-    return t.join(r, "_i").join(c, "_j").select(F.lit(run_id).alias("run_id"), "barcode", "feature", "count").where("count <> 0")
+
+    def names(path: str, name: str, index: str) -> DataFrame:
+        return numbered_lines(spark, path).select((F.col("line_no") + 1).alias(index), F.trim("value").alias(name))
+
+    out = t.join(names(rows, "barcode", "_i"), "_i").join(names(cols, "feature", "_j"), "_j")
+    return out.select(F.lit(run_id).alias("run_id"), "barcode", "feature", "count").where("count <> 0")
 
 
 def read_table(spark: SparkSession, path, schema: str | None = None, sep: str = ",", header: bool = True, na: str = "", limit: int | None = None) -> DataFrame:
