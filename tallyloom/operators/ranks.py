@@ -76,13 +76,14 @@ def first_knee(curve: DataFrame, lowers: Sequence[int] = FIRST_LOWERS, run: str
     """
     votes = first_knee_votes(curve, lowers, run).groupBy(run, "shin", "knee").agg(F.count(F.lit(1)).alias("votes"))
     name = F.concat_ws("_", F.col("shin").cast("string"), F.col("knee").cast("string"))
-    best = joins.first_per_group(votes.withColumn("_name", name), run, [F.col("votes").desc(), F.col("_name").asc()])
+    best = cut_lineage(joins.first_per_group(votes.withColumn("_name", name), run, [F.col("votes").desc(), F.col("_name").asc()]))
     best = best.select(run, F.col("shin").alias("shin1"), F.col("knee").alias("knee1"), "votes")
     if given is not None:
         best = best.join(given.select(run, F.col("shin1").alias("_s"), F.col("knee1").alias("_k")), run, "left").select(
             run, F.coalesce("_s", "shin1").alias("shin1"), F.coalesce("_k", "knee1").alias("knee1"), "votes")
     at = joins.nearest(curve.select(run, "total", "rank"), best, run, "total", "shin1", "rank")
-    return best.join(at.select(run, F.col("rank").alias("shin1_x")), run)
+    # one row per run, read by every later step
+    return cut_lineage(best.join(at.select(run, F.col("rank").alias("shin1_x")), run))
 
 
 def _log_mean_index(curve: DataFrame, bounds: DataFrame, lo: str, hi: str, out: str, run: str) -> DataFrame:
@@ -116,7 +117,7 @@ def second_knee(curve: DataFrame, first: DataFrame, min_umis: int = MIN_UMIS_EMP
     past = curve.join(cuts, run).where((F.col("rank") > F.col("cut")) & (F.col("total") > min_umis))
     base = past.groupBy(run, "cut_no").agg(F.min(F.col("cum") - F.col("n")).alias("_base"))
     pts = past.join(base, [run, "cut_no"]).withColumn("rank", F.col("rank") - F.col("_base"))
-    found = _knee_and_shin(pts.select(run, "cut_no", "total", "rank"), [run, "cut_no"])
+    found = cut_lineage(_knee_and_shin(pts.select(run, "cut_no", "total", "rank"), [run, "cut_no"]))
     top = joins.first_per_group(
         found.groupBy(run, "shin").agg(F.count(F.lit(1)).alias("_n")).withColumn("_name", F.col("shin").cast("string")),
         run, [F.col("_n").desc(), F.col("_name").asc()]).select(run, "shin")
@@ -132,7 +133,7 @@ def second_knee(curve: DataFrame, first: DataFrame, min_umis: int = MIN_UMIS_EMP
         best = best.join(s, run, "full").join(k, run, "full").select(
             run, F.coalesce("_s", "shin2").alias("shin2"), F.coalesce("_k", "knee2").alias("knee2"))
     at = curve.select(run, F.col("total").alias("knee2"), F.col("rank").alias("knee2_x"))
-    return best.join(at, [run, "knee2"])
+    return cut_lineage(best.join(at, [run, "knee2"]))
 
 
 def droplet_params(curve: DataFrame, knees: DataFrame, low_count: str | int = "shin2", run: str = "run_id") -> DataFrame:
