@@ -48,7 +48,7 @@ def doublet_scores(gene_sums: DataFrame, genes: DataFrame, min_feats: int = MIN_
         run, F.concat(F.lit("r:"), F.col("cell_id").cast("string")).alias("cell_id"), "gene_id", "count")
     sim = simulate_doublets(gene_sums, cells, seed, run).select(
         run, F.concat(F.lit("s:"), F.col("sim").cast("string")).alias("cell_id"), "gene_id", "count")
-    both = real.unionByName(sim).join(genes.select("gene_id"), "gene_id", "left_semi")
+    both = cut_lineage(real.unionByName(sim).join(genes.select("gene_id"), "gene_id", "left_semi"))
     ids = both.select(run, "cell_id").distinct()
     logs = C.log_normalise(both.drop(run), C.library_sizes(both))
     emb = embed.pca(embed.scaled_vectors(logs, genes), n_dims)

@@ -134,7 +134,7 @@ def ambient_genes(pb_cells: DataFrame, pb_empty: DataFrame, fdr: float = 0.01, m
         libs.append(group_libraries(x, ["side", "sample"]))
     counts, samples = both[0].unionByName(both[1]), cut_lineage(libs[0].unionByName(libs[1]))
     common = pb_cells.select("gene_id").intersect(pb_empty.select("gene_id"))
-    counts = counts.join(common, "gene_id", "left_semi").where("count > 0")
+    counts = cut_lineage(counts.join(common, "gene_id", "left_semi").where("count > 0"))
     keep = P.filter_by_expression(counts, samples, "side", ["side", "sample"])
     test = nb_ql_test(counts, samples, "side", ["side", "sample"], keep).where("side = 'empties'").drop("side")
     n = samples.groupBy("side").agg(F.count(F.lit(1)).alias("k"))
