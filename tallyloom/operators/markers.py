@@ -42,8 +42,9 @@ def welch_test(means: DataFrame, samples: DataFrame, cluster: str = "cluster") -
         "_om": (F.col("_ts") - F.col("_sum") + absent * base) / F.when(k > 0, k),
         "_oq": F.col("_tq") - F.col("_sq") + absent * base * base})
     ov = (F.col("_oq") - F.col("_k") * F.col("_om") * F.col("_om")) / F.when(F.col("_k") > 1, F.col("_k") - 1)
-    a = F.greatest(F.col("var_logcpm"), F.lit(0.0)) / n
-    b = F.greatest(ov, F.lit(0.0)) / F.col("_k")
+    # a side with one sample has no variance, so no test
+    a = F.when(n > 1, F.greatest(F.col("var_logcpm"), F.lit(0.0)) / n)
+    b = F.when(F.col("_k") > 1, F.greatest(ov, F.lit(0.0)) / F.col("_k"))
     j = j.withColumns({"_a": a, "_b": b})
     se2 = F.col("_a") + F.col("_b")
     den = F.col("_a") * F.col("_a") / F.when(n > 1, n - 1) + F.col("_b") * F.col("_b") / F.when(F.col("_k") > 1, F.col("_k") - 1)

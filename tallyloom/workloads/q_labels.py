@@ -97,7 +97,7 @@ def cluster_by_metadata(spark, sf):
 
 
 _EMB = """WITH e AS (SELECT vec_id AS cell_id, 'cl' || CAST(label AS VARCHAR) AS cluster, coalesce(toxic = 1, false) AS is_dbl
-  FROM embeddings JOIN documents ON vec_id = documents.doc_id LEFT JOIN labels ON vec_id = labels.doc_id),
+  FROM embeddings LEFT JOIN labels ON vec_id = labels.doc_id),
   s AS (SELECT cluster, COUNT(*) AS k, COUNT(CASE WHEN is_dbl THEN 1 END) / COUNT(*) AS p FROM e GROUP BY 1)"""
 
 

@@ -126,6 +126,6 @@ def embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "embeddings")
         .select(F.col("vec_id").alias("cell_id"), F.concat(F.lit("cl"), F.col("label").cast("string")).alias("cluster"),
                 F.col("embedding").cast("array<double>").alias("embedding"))
-        .join(docs, "cell_id").join(flags, "cell_id", "left")
-        .select("cell_id", "batch", "cluster", F.coalesce("_dbl", F.lit(False)).alias("is_dbl"), "embedding")
+        .join(docs, "cell_id", "left").join(flags, "cell_id", "left")
+        .select("cell_id", F.coalesce("batch", F.lit("none")).alias("batch"), "cluster", F.coalesce("_dbl", F.lit(False)).alias("is_dbl"), "embedding")
     )
