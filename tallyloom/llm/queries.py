@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import debruijn, shards, suffix_dedup, urlrules
+from tallyloom.llm import debruijn, minhash, shards, suffix_dedup, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM m WH
 @query
 def op7_debruijn_dedup(spark, sf_dir):
     return debruijn.dedup_words(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_circulant_minhash(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), width=4, percent=80)
