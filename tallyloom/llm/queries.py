@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import debruijn, minhash, shards, suffix_dedup, urlrules
+from tallyloom.llm import debruijn, minhash, packing, shards, suffix_dedup, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,17 @@ def op7_debruijn_dedup(spark, sf_dir):
 @query
 def op10_circulant_minhash(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
