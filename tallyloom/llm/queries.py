@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import debruijn, minhash, packing, shards, suffix_dedup, urlrules
+from tallyloom.llm import debruijn, langid, minhash, packing, shards, suffix_dedup, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,14 @@ def tokenizer_path() -> str:
 @query
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+def crc(column: str, n: int):
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(n))
+
+
+@query
+def op2_script_viterbi_langid(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(crc("doc_id", 4) != 2))
+    return langid.identify(docs, model).select("doc_id", F.coalesce(crc("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
