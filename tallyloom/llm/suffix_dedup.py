@@ -51,7 +51,7 @@ class SuffixLevels:
         return low[np.searchsorted(new_keys, keys)]
 
 
-def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 14, group_bytes: int = 1 << 20, bucket_bytes: int = 40 << 20, batch: int = 1 << 17) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int = 1 << 20, bucket_bytes: int = 16 << 20, batch: int = 1 << 17) -> DataFrame:
     """Remove each byte covered by a ``window``-byte string that also starts in a row with a smaller doc_id.
 
     Texts are judged on the input. The suffixes that can match are found by minimiser (``repeats``); those
