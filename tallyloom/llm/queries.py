@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import debruijn, langid, minhash, packing, shards, suffix_dedup, urlrules
+from tallyloom.llm import ann, debruijn, langid, minhash, packing, shards, suffix_dedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,16 @@ def op2_script_viterbi_langid(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     model = langid.train(docs.where(crc("doc_id", 4) != 2))
     return langid.identify(docs, model).select("doc_id", F.coalesce(crc("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query
+def op9_bigru_toxicity(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(crc("doc_id", 5) != 0))
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(crc("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_adaptive_dimension_ann(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
