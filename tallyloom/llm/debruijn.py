@@ -22,7 +22,7 @@ OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, text strin
 SOURCE = {"status": np.uint8, "src_g": np.int64, "src_row": np.int64, "src_at": np.int64}
 
 
-def repeated_edges(docs: DataFrame, window: int = 20, k: int = 6, group_bytes: int = 1 << 20, bucket_bytes: int = 40 << 20) -> tuple[DataFrame, DataFrame]:
+def repeated_edges(docs: DataFrame, window: int = 20, k: int = 6, group_bytes: int = 1 << 20, bucket_bytes: int = 24 << 20, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(dealt documents, repeated edges). An edge is a window of ``window`` words, its two nodes the words
     without the last and without the first. Edges that share a minimiser and follow each other stay
     together (a super-k-mer): one row says that the ``n`` edges from word ``start`` of document (g, row)
@@ -30,7 +30,7 @@ def repeated_edges(docs: DataFrame, window: int = 20, k: int = 6, group_bytes: i
     """
     _, n_bytes = size_of(docs)
     n_buckets = max(12, -(-n_bytes // bucket_bytes))
-    dealt = deal(docs, n_bytes, group_bytes)
+    dealt = deal(docs, n_bytes, group_bytes, keep)
 
     def load(t: pa.Table) -> R.Group:
         return R.load(t, window, k, n_buckets, by_word=True)
@@ -98,7 +98,7 @@ def compact(edges: DataFrame) -> DataFrame:
     return paths.groupBy("g", "row", "path").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.min("src_g").alias("src_g"), F.min("src_row").alias("src_row"), F.min("src_start").alias("src_start")).drop("path")
 
 
-def dedup_words(docs: DataFrame, window: int = 20, **sizes) -> DataFrame:
+def dedup_words(docs: DataFrame, window: int = 20, keep: list[str] | None = None, **sizes) -> DataFrame:
     """Remove each word covered by a window of ``window`` words that also starts earlier: in a row that
     comes before (by doc_id; rows with one id in a fixed order), or before it in the same row.
 
@@ -107,10 +107,10 @@ def dedup_words(docs: DataFrame, window: int = 20, **sizes) -> DataFrame:
 
     One row per input row: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space),
     text (unchanged if nothing was removed, else the kept words joined), spans (word ranges removed as
-    paths). Null and empty texts have no words, null text stays null; texts shorter than the window lose
+    paths), and, with ``keep``, rest (a struct of these columns). Null and empty texts have no words, null text stays null; texts shorter than the window lose
     nothing; null ids come first; an empty table gives no rows; other columns are not read.
     """
-    dealt, edges = repeated_edges(docs, window, **sizes)
+    dealt, edges = repeated_edges(docs, window, keep=keep, **sizes)
 
     def cut(t: pa.Table, paths: pa.Table) -> pa.Table:
         rows = []
@@ -128,9 +128,11 @@ def dedup_words(docs: DataFrame, window: int = 20, **sizes) -> DataFrame:
                 else:
                     rows.append((doc_id, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), text, []))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return R.table(rows, ["doc_id", "n_words", "n_removed", "kept_sha256", "text", "spans"], [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), span])
+        out = R.table(rows, ["doc_id", "n_words", "n_removed", "kept_sha256", "text", "spans"], [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), span])
+        return out.append_column("rest", R.ordered(t).column("rest")) if keep else out
 
-    return dealt.groupBy("g").cogroup(compact(edges).groupBy("g")).applyInArrow(cut, OUT)
+    rest = f", rest {dealt.schema['rest'].dataType.simpleString()}" if keep else ""
+    return dealt.groupBy("g").cogroup(compact(edges).groupBy("g")).applyInArrow(cut, OUT + rest)
 
 
 def _rows(t: pa.Table) -> list[tuple]:

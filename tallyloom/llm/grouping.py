@@ -12,8 +12,8 @@ def size_of(docs: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"])
 
 
-def deal(docs: DataFrame, n_bytes: int, group_bytes: int = 1 << 20) -> DataFrame:
-    """(g, doc_id, text) hash-partitioned by group g; a group has about ``group_bytes`` of text.
+def deal(docs: DataFrame, n_bytes: int, group_bytes: int = 1 << 20, keep: list[str] | None = None) -> DataFrame:
+    """(g, doc_id, text, and a struct of the columns ``keep``) hash-partitioned by group g; a group has about ``group_bytes`` of text.
 
     Groups grow slowly with the corpus (to 64 times the given size), so that what a group sends to a
     bucket stays a packet. The exchange is the same in every pass, so Spark reuses its files.
@@ -22,4 +22,5 @@ def deal(docs: DataFrame, n_bytes: int, group_bytes: int = 1 << 20) -> DataFrame
     n_groups = max(1, n_bytes // (group_bytes * grown))
     g = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("g")
     n_parts = max(12, int(min(n_groups, -(-n_bytes // (24 << 20)))))
-    return docs.select(g, F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(n_parts, "g")
+    rest = [F.struct(*[F.col(c) for c in keep]).alias("rest")] if keep else []
+    return docs.select(g, F.col("doc_id").cast("long").alias("doc_id"), "text", *rest).repartition(n_parts, "g")

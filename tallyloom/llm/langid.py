@@ -201,13 +201,13 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
     Columns of ``keep`` (default doc_id) come first; an empty table gives no rows.
     """
     keep = keep or ["doc_id"]
-    out = docs.select(*keep, "text").schema
+    source = docs.select(*keep, F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets and languages
     span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("last", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        for batch in A.slices(batches, "text", SLICE):
+        for batch in A.slices(batches, "_text", SLICE):
             text = batch.column(batch.num_columns - 1)
             n = batch.num_rows
             w = word_stream(text)
@@ -236,8 +236,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                         pred[r] = m.langs[0]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score), pa.array(spans, span)], [*batch.schema.names[:-1], "lang_pred", "score", "spans"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.fields[:-1])
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, lang_pred string, score double, spans array<struct<lang:string,first:long,last:long>>")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    return source.mapInArrow(run, f"{fields}, lang_pred string, score double, spans array<struct<lang:string,first:long,last:long>>")
 
 
 def _has_letter(text: str | None) -> bool:

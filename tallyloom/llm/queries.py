@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, debruijn, langid, minhash, packing, shards, suffix_dedup, toxicity, urlrules
+from tallyloom.llm import ann, debruijn, decontam, langid, minhash, packing, shards, suffix_dedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_seed_align_decontamination(spark, sf_dir):
+    return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_prefix_sum_shards(spark, sf_dir):
     plan = shards.plan_shards(read(spark, sf_dir, "documents"), 40)

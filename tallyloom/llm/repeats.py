@@ -57,7 +57,6 @@ class Group:
 
 def ordered(docs: pa.Table) -> pa.Table:
     """Rows by (doc_id, text), null ids first: the same order in every pass."""
-    docs = docs.select(["g", "doc_id", "text"])
     by = pa.table({"i": pc.fill_null(docs.column("doc_id"), LOWEST), "t": docs.column("text")})
     return docs.take(pc.sort_indices(by, sort_keys=[("i", "ascending"), ("t", "ascending")]))
 
