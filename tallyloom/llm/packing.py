@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,43 +19,70 @@ from pyspark.sql import functions as F
 from tallyloom.llm import arrays as A
 
 SLICE = 4 << 20
-CACHED_WORDS = 300_000
+GENERATION = 250_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 # Python splits at these, the tokenizer doesn't
 _ODD = re.compile("[\x1c-\x1f]")
 
 
 class TokenBytes:
-    """Ids of texts as little-endian 32-bit words. Words repeat, so each is tokenised once while cached;
-    the tokenizer never joins anything across white space."""
+    """Ids of texts as little-endian 32-bit words. Words repeat, so each is tokenised once while it is
+    remembered; the tokenizer never joins anything across white space.
+
+    Words of the current generation and the one before are remembered; a full generation makes way.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+
+    def _lookup(self, words: set[str]) -> dict[str, bytes]:
+        new, old, found, missing = self.new, self.old, {}, []
+        for w in words:
+            ids = new.get(w)
+            if ids is None:
+                ids = old.get(w)
+                if ids is None:
+                    missing.append(w)
+                    continue
+                new[w] = ids
+            found[w] = ids
+        fresh = dict(zip(missing, self._encode(missing)))
+        new.update(fresh)
+        found.update(fresh)
+        if len(new) > GENERATION:
+            self.old, self.new = new, {}
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
         split = [None if _ODD.search(t) else t.split() for t in texts]
-        new = list({w for ws in split if ws for w in ws if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list({w for ws in split if ws for w in ws})
-        known.update(zip(new, self._encode(new)))
-        get = known.__getitem__
+        words: set[str] = set()
+        for ws in split:
+            if ws:
+                words.update(ws)
+        get = self._lookup(words).__getitem__
         return [self._encode([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
+@cache
+def token_bytes(path: str) -> TokenBytes:
+    """One per worker process, which serves many tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return TokenBytes(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: bool) -> DataFrame:
     """Token ids of each document with ``end_id`` behind them, cut at ``capacity``."""
     end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TokenBytes(tokenizer)
+        encode = token_bytes(tokenizer)
         for batch in A.slices(batches, "text", SLICE):
             out: list[tuple] = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()])):
