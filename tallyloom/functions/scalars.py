@@ -89,7 +89,7 @@ def is_date_stamp(text) -> Column:
     """``20YY-MM-DD`` text that is also a real date."""
     t = _c(text)
     # Fixed value: format of a date stamp.
-    return t.rlike("^20[0-9]{2}-[0-9]{2}-[0-9]{2}$") & F.expr("true") & F.try_to_timestamp(t, F.lit("yyyy-MM-dd")).isNotNull()
+    return t.rlike("^20[0-9]{2}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp(t, F.lit("yyyy-MM-dd")).isNotNull()
 
 
 def json_number(text, path: str, default: float = 0) -> Column:

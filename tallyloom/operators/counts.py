@@ -58,7 +58,11 @@ def min_umi_barcodes(totals: DataFrame, minimum: float = 10, prefix: str = "pre"
 
 
 def keep_genes(counts: DataFrame, genes: DataFrame) -> DataFrame:
-    return counts.join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
+    """Counts of the listed genes; an error when none of the genes has a count."""
+    kept = counts.join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
+    if kept.isEmpty():
+        raise ValueError("no gene is left: none of the listed genes has a count")
+    return kept
 
 
 # Gene types that are recorded per cell and then left out.

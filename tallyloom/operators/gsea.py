@@ -85,8 +85,8 @@ def null_scores(ranks: DataFrame, sizes: DataFrame, n_perm: int = 1000, chunk: i
                 for size in map(int, r.sizes):
                     if size >= n:
                         continue
-                    es = np.empty(chunk)
-                    for b in range(chunk):
+                    es = np.empty(min(chunk, n_perm - int(r.part) * chunk))
+                    for b in range(len(es)):
                         at = np.sort(rng.choice(n, size, replace=False))
                         cw = np.cumsum(w[at])
                         tot = cw[-1]

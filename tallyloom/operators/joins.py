@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import as_list
 
-GRID_LIMIT = 100_000
+GRID_SALTS = 32
 
 
 def attach(left: DataFrame, right: DataFrame, on, fill: Mapping[str, object] | None = None) -> DataFrame:
@@ -61,24 +61,17 @@ def pair_rows(df: DataFrame, by, order: str, value: str) -> DataFrame:
         F.col("_a.v").alias("x"), F.col("_b.v").alias("y"))
 
 
-def values_array(df: DataFrame, cols: Sequence[str], limit: int = GRID_LIMIT) -> Column:
-    """Distinct values of a small dimension as one array value; fails above ``limit`` entries."""
-    arr = F.sort_array(F.collect_set(F.struct(*cols)))
-    one = df.select(*cols).distinct().agg(arr.alias("v"))
-    checked = one.select(F.when(F.size("v") <= limit, F.col("v")).otherwise(
-        F.raise_error(F.lit(f"more than {limit} values of {', '.join(cols)}"))).alias("v"))
-    return checked.scalar()
-
-
 def complete(df: DataFrame, rows: Sequence[str], cols: Sequence[str], fill: Mapping[str, object],
-             row_values: DataFrame | None = None, limit: int = GRID_LIMIT) -> DataFrame:
+             row_values: DataFrame | None = None) -> DataFrame:
     """Add the missing (rows, cols) combinations with fill values.
 
-    ``cols`` is the small side (batches, clusters, labels): its values form one checked array
-    that is unfolded next to each distinct row key.
+    The result has a row for each pair by definition. Distinct column keys are copied to every salt and
+    meet the row keys of that salt in an equi-join, so no list of keys is gathered anywhere.
     """
     base = (row_values if row_values is not None else df).select(*rows).distinct()
-    grid = base.select(*rows, F.explode(values_array(df, cols, limit)).alias("_v")).select(*rows, "_v.*")
+    salted = base.withColumn("_salt", F.pmod(F.xxhash64(*rows), F.lit(GRID_SALTS)).cast("int"))
+    copies = df.select(*cols).distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GRID_SALTS - 1))))
+    grid = salted.join(copies, "_salt").drop("_salt")
     return grid.join(df, [*rows, *cols], "left").fillna(dict(fill))
 
 

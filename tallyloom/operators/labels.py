@@ -137,20 +137,37 @@ def drop_small_groups(df: DataFrame, by, min_size: int) -> DataFrame:
     return df.join(big, keys, "left_semi")
 
 
-def classify_cells(logcounts: DataFrame, model: DataFrame, intercepts: DataFrame, value: str = "logcount") -> DataFrame:
+def classify_cells(logcounts: DataFrame, model: DataFrame, intercepts: DataFrame, value: str = "logcount", cells: DataFrame | None = None,
+                   scaling: DataFrame | None = None) -> DataFrame:
     """Best class and its probability per cell from a linear model held as a long table.
 
-    ``model`` is (class, gene_id, weight), ``intercepts`` is (class, intercept). The join is on the
-    gene; scores are summed before the shuffle. Classes without a matching gene score their intercept.
+    ``model`` is (class, gene_id, weight), ``intercepts`` is (class, intercept). The model is folded to one
+    row per gene with an array of weights in the order of the classes, so a count meets its gene once; the
+    arrays are summed per cell. A cell of ``cells`` (default: those with counts) without a gene of the model
+    scores the intercepts. ``scaling`` (gene_id, centre, scale) centres and scales the values as the model
+    was trained; absent counts are zeros and are centred as well.
     """
-    s = logcounts.join(model, "gene_id").groupBy("cell_id", "class").agg(
-        F.sum(F.col(value) * F.col("weight")).alias("_s"))
-    per_class = joins.complete(s, ["cell_id"], ["class"], {"_s": 0.0}).join(intercepts, "class")
-    score = F.col("_s") + F.col("intercept")
-    best = per_class.withColumn("_t", score).groupBy("cell_id").agg(
-        F.min_by(F.struct("class", "_t"), F.struct(-F.col("_t"), F.col("class"))).alias("_b"))
-    return best.select("cell_id", F.col("_b.class").alias("predicted_label"),
-                       (1.0 / (1.0 + F.exp(-F.col("_b._t")))).alias("probability"))
+    bias = intercepts.agg(F.array_sort(F.collect_list(F.struct("class", "intercept"))).alias("b"))  # a row per class
+    flat = model.join(intercepts.select("class"), "class")
+    if scaling is not None:
+        flat = flat.join(scaling, "gene_id", "left").withColumn("weight", F.col("weight") / F.coalesce("scale", F.lit(1.0)))
+        shift = flat.groupBy("class").agg(F.sum(F.col("weight") * F.coalesce("centre", F.lit(0.0))).alias("_c"))
+        moved = intercepts.join(shift, "class", "left").select("class", (F.col("intercept") - F.coalesce("_c", F.lit(0.0))).alias("intercept"))
+        bias = moved.agg(F.array_sort(F.collect_list(F.struct("class", "intercept"))).alias("b"))
+    bias = bias.scalar()
+    by_gene = flat.groupBy("gene_id").agg(F.map_from_entries(F.collect_list(F.struct("class", "weight"))).alias("_m"))
+    by_gene = by_gene.withColumn("_b", bias).select("gene_id", F.transform("_b", lambda c: F.coalesce(F.try_element_at("_m", c["class"]), F.lit(0.0))).alias("_w"))
+    n = len(intercepts.select("class").distinct().collect())  # the classes of the model
+    sums = logcounts.join(by_gene, "gene_id").groupBy("cell_id").agg(
+        F.array(*[F.sum(F.col(value) * F.element_at("_w", i + 1)) for i in range(n)]).alias("_s"))
+    every = (cells if cells is not None else logcounts).select("cell_id").distinct()
+    score = F.transform("_b", lambda c, i: F.struct(
+        (F.coalesce(F.element_at("_s", i + 1), F.lit(0.0)) + c["intercept"]).alias("t"), c["class"].alias("class")))
+    scored = every.join(sums, "cell_id", "left").withColumn("_b", bias).withColumn("_t", score)
+    # the highest score; between equal ones the first class
+    best = F.array_sort("_t", lambda a, b: F.when(a["t"] > b["t"], -1).when(a["t"] < b["t"], 1).when(a["class"] < b["class"], -1).otherwise(1))
+    return scored.withColumn("_b", F.element_at(best, 1)).select(
+        "cell_id", F.col("_b.class").alias("predicted_label"), (1.0 / (1.0 + F.exp(-F.col("_b.t")))).alias("probability"))
 
 
 def subset_sample_stats(cells: DataFrame, batches: DataFrame, earlier: DataFrame, min_cells: int, batch: str = "batch") -> DataFrame:

@@ -14,7 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECES = 64
+from tallyloom.session import ensure_checkpoint_dir
+
+PIECES = 64  # at least; more when a piece would hold over PIECE_ROWS values
+PIECE_ROWS = 100_000
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -25,23 +28,25 @@ def as_list(by: str | Sequence[str] | None) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def _spread(value: Column) -> Column:
-    """Monotone map that evens out heavy tails; bounded for infinities."""
-    v = value.cast("double")
-    return F.greatest(F.lit(-800.0), F.least(F.lit(800.0), F.signum(v) * F.log1p(F.abs(v))))
+def _finite(value: Column) -> Column:
+    """As double, with infinities (and NaN, which sorts last) at the ends of a finite range."""
+    return F.greatest(F.lit(-1e300), F.least(F.lit(1e300), value.cast("double")))
 
 
 def _cut_in_pieces(runs: DataFrame, keys: list[str], value: str, pieces: int) -> DataFrame:
     """Add ``_total`` (rows of the group) and ``_piece`` to a table of (keys, value, n)."""
     span = runs.groupBy(*keys).agg(
-        F.min(_spread(F.col(value))).alias("_lo"),
-        F.max(_spread(F.col(value))).alias("_hi"),
+        F.min(_finite(F.col(value))).alias("_lo"),
+        F.max(_finite(F.col(value))).alias("_hi"),
         F.sum("n").alias("_total"),
+        F.greatest(F.lit(pieces), F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int")).alias("_pieces"),
     )
-    width = F.col("_hi") - F.col("_lo")
-    place = (_spread(F.col(value)) - F.col("_lo")) / F.when(width > 0, width)
-    piece = F.least(F.floor(F.coalesce(place, F.lit(0.0)) * pieces), F.lit(pieces - 1)).cast("int")
-    return runs.join(span, keys).withColumn("_piece", piece).drop("_lo", "_hi")
+    # relative to the group's smallest value, so that values far from zero spread as well
+    away = lambda x: F.log1p(F.greatest(F.lit(0.0), F.least(F.lit(1e300), x - F.col("_lo"))))
+    width = away(F.col("_hi"))
+    place = away(_finite(F.col(value))) / F.when(width > 0, width)
+    piece = F.least(F.floor(F.coalesce(place, F.lit(0.0)) * F.col("_pieces")), F.col("_pieces") - 1).cast("int")
+    return runs.join(span, keys).withColumn("_piece", piece).drop("_lo", "_hi", "_pieces")
 
 
 def running_counts(
@@ -113,13 +118,14 @@ def positions(
     out: str = "position",
     *,
     descending: bool = True,
-    pieces: int = PIECES,
     bounded: bool = False,
 ) -> DataFrame:
     """Add 1, 2, 3, ... in order of value, then of the tie column; rows without a value drop out.
 
-    ``bounded=True`` uses a plain window (see ``mid_rank``). Otherwise a value shared by very many rows is split further by the first six characters of the tie
-    column, so that no task sorts a whole group.
+    ``bounded=True`` uses a plain window (see ``mid_rank``). Otherwise rows are range-partitioned by group,
+    value and tie column; each partition numbers its own rows and adds the rows of the group in the
+    partitions before it, so a hot group or value is many tasks' work. The ranges are written once, since
+    both steps must see the same.
     """
     keys = as_list(by)
     if bounded:
@@ -128,36 +134,21 @@ def positions(
         return df.where(c.isNotNull()).withColumn(out, F.row_number().over(w).cast("long"))
     gkeys = keys or ["_all"]
     src = (df if keys else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull())
-    src = src.withColumn("_slot", F.substring(F.col(tie).cast("string"), 1, 6)) if _is_text(df, tie) else \
-        src.withColumn("_slot", F.lpad(F.shiftright(F.col(tie).cast("long"), 12).cast("string"), 20, "0"))
-    cells = src.groupBy(*gkeys, value, "_slot").agg(F.count(F.lit(1)).alias("n"))
-    cut = _cut_in_pieces(cells, gkeys, value, pieces)
-    order = [F.col(value).desc() if descending else F.col(value).asc(), F.col("_slot").asc()]
-    piece_order = F.col("_piece").desc() if descending else F.col("_piece").asc()
-    offsets = (
-        cut.groupBy(*gkeys, "_piece").agg(F.sum("n").alias("_n"))
-        .withColumn("_before", F.coalesce(
-            F.sum("_n").over(Window.partitionBy(*gkeys).orderBy(piece_order).rowsBetween(*_BEFORE)), F.lit(0)))
+    order = [F.col(value).desc() if descending else F.col(value).asc(), F.col(tie).asc()]
+    ensure_checkpoint_dir(df.sparkSession)
+    placed = src.repartitionByRange(*gkeys, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    before = (
+        placed.groupBy(*gkeys, "_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per group and partition
+        .withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*gkeys).orderBy("_part").rowsBetween(*_BEFORE)), F.lit(0)))
         .drop("_n")
     )
-    inner = F.coalesce(
-        F.sum("n").over(Window.partitionBy(*gkeys, "_piece").orderBy(*order).rowsBetween(*_BEFORE)), F.lit(0))
-    starts = (
-        cut.withColumn("_inner", inner).join(offsets, [*gkeys, "_piece"])
-        .select(*gkeys, value, "_slot", (F.col("_before") + F.col("_inner")).alias("_start"))
-    )
-    within = F.row_number().over(Window.partitionBy(*gkeys, value, "_slot").orderBy(F.col(tie).asc()))
+    within = F.row_number().over(Window.partitionBy(*gkeys, "_part").orderBy(*order))
     return (
-        src.withColumn("_within", within)
-        .join(starts, [*gkeys, value, "_slot"])
-        .select(*df.columns, (F.col("_start") + F.col("_within")).cast("long").alias(out))
+        placed.withColumn("_within", within).join(before, [*gkeys, "_part"])
+        .select(*df.columns, (F.col("_before") + F.col("_within")).cast("long").alias(out))
     )
 
 
-def _is_text(df: DataFrame, name: str) -> bool:
-    return dict(df.dtypes)[name] == "string"
-
-
 def quantiles(
     df: DataFrame,
     by: str | Sequence[str] | None,
@@ -216,7 +207,8 @@ def bh_adjust(df: DataFrame, by, p: str = "p_value", out: str = "fdr", *, bounde
     runs = running_counts(src, gkeys, p).withColumn(
         "_raw", F.least(F.lit(1.0), F.col(p) * F.col("group_n") / F.col("cum")))
     # smallest raw value among equal or larger p-values, piece by piece
-    cut = runs.withColumn("_piece", F.least(F.floor(F.col("cum") * PIECES / F.col("group_n")), F.lit(PIECES - 1)).cast("int"))
+    pieces = F.greatest(F.lit(PIECES), F.ceil(F.col("group_n") / PIECE_ROWS))
+    cut = runs.withColumn("_piece", F.least(F.floor(F.col("cum") * pieces / F.col("group_n")), pieces - 1).cast("int"))
     later = (
         cut.groupBy(*gkeys, "_piece").agg(F.min("_raw").alias("_m"))
         .withColumn("_later", F.min("_m").over(
