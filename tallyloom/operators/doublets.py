@@ -12,7 +12,6 @@ from tallyloom.session import cut_lineage
 # Least features of a scored cell and least cells of a scored run.
 MIN_FEATS, MIN_CELLS = 100, 100
 RATE_PER_CELL = 1e-5  # one percent of doublets per thousand cells
-RUN_GAP = 1e6
 
 
 def scored_cells(gene_sums: DataFrame, min_feats: int = MIN_FEATS, min_cells: int = MIN_CELLS, run: str = "run_id") -> DataFrame:
@@ -39,28 +38,26 @@ def doublet_scores(gene_sums: DataFrame, genes: DataFrame, min_feats: int = MIN_
                    n_dims: int = 20, k: int = 30, rate: float | None = None, seed: int = 42, run: str = "run_id") -> DataFrame:
     """Score and class (singlet / doublet) of every cell; cells that are not tested are singlets.
 
-    Real and simulated cells of all runs share one component space; a gap between runs along an
-    extra axis keeps neighbours within the run. In each run the cells with the highest scores, as
-    many as the expected rate, are doublets.
+    Real and simulated cells of all runs share one component space; neighbours stay within the run. In each
+    run the cells with the highest scores, as many as the expected rate, are doublets. Cells are told apart
+    by run and id together. ``genes`` are the genes of the component space.
     """
     cells = cut_lineage(scored_cells(gene_sums, min_feats, min_cells, run))
+    key = lambda kind, name: F.to_json(F.struct(F.lit(kind).alias("k"), F.col(run).cast("string").alias("r"), F.col(name).cast("string").alias("c")))
     real = gene_sums.join(cells.select(run, "cell_id"), [run, "cell_id"], "left_semi").select(
-        run, F.concat(F.lit("r:"), F.col("cell_id").cast("string")).alias("cell_id"), "gene_id", "count")
-    sim = simulate_doublets(gene_sums, cells, seed, run).select(
-        run, F.concat(F.lit("s:"), F.col("sim").cast("string")).alias("cell_id"), "gene_id", "count")
-    both = cut_lineage(real.unionByName(sim).join(genes.select("gene_id"), "gene_id", "left_semi"))
-    ids = both.select(run, "cell_id").distinct()
-    logs = C.log_normalise(both.drop(run), C.library_sizes(both))
-    emb = embed.pca(embed.scaled_vectors(logs, genes), n_dims)
-    no = cells.select(run, "run_no").distinct()
-    placed = emb.join(ids, "cell_id").join(no, run).select(
-        "cell_id", F.concat(F.col("embedding"), F.array(F.col("run_no") * F.lit(RUN_GAP))).alias("embedding"))
-    nn = embed.knn(cut_lineage(placed), k, seed=seed)
-    score = nn.where(F.col("cell_id").startswith("r:")).groupBy("cell_id").agg(
-        (F.count_if(F.col("neighbour").startswith("s:")) / F.count(F.lit(1))).alias("dbl_score"))
+        run, F.lit(False).alias("is_sim"), F.col("cell_id").alias("own_id"), key("real", "cell_id").alias("cell_id"), "gene_id", "count")
     kind = dict(gene_sums.dtypes)["cell_id"]
-    score = score.select(F.substring("cell_id", 3, 1000).cast(kind).alias("cell_id"), "dbl_score")
-    x = ordered.positions(cut_lineage(cells.join(score, "cell_id")), run, "dbl_score", "cell_id", "_pos")
+    sim = simulate_doublets(gene_sums, cells, seed, run).select(
+        run, F.lit(True).alias("is_sim"), F.lit(None).cast(kind).alias("own_id"), key("sim", "sim").alias("cell_id"), "gene_id", "count")
+    both = cut_lineage(real.unionByName(sim).join(genes.select("gene_id").distinct(), "gene_id", "left_semi"))
+    ids = both.select(run, "is_sim", "own_id", "cell_id").distinct()
+    logs = C.log_normalise(both.select("cell_id", "gene_id", "count"), C.library_sizes(both))
+    emb = embed.pca(embed.scaled_vectors(logs, genes), n_dims).join(ids.select("cell_id", run), "cell_id")
+    nn = embed.knn(cut_lineage(emb), k, by=run, seed=seed)
+    of = ids.select(F.col("cell_id").alias("neighbour"), F.col("is_sim").alias("_sim"))
+    score = nn.join(of, "neighbour").groupBy("cell_id").agg((F.count_if("_sim") / F.count(F.lit(1))).alias("dbl_score"))
+    score = ids.where(~F.col("is_sim")).join(score, "cell_id").select(run, F.col("own_id").alias("cell_id"), "dbl_score")
+    x = ordered.positions(cells.join(score, [run, "cell_id"]), run, "dbl_score", "cell_id", "_pos")
     share = F.lit(rate) if rate is not None else F.col("n_run") * RATE_PER_CELL
     cls = F.when(F.col("_pos") <= F.ceil(F.col("n_run") * share), "doublet").otherwise("singlet")
     tested = x.select(run, "cell_id", "dbl_score", cls.alias("scdbl_class"))

@@ -80,10 +80,12 @@ def integrate_once(gene_sums: DataFrame, cells: DataFrame, hvgs: DataFrame, reso
     src = src.join(ids.select("cell_id"), "cell_id", "left_semi")
     logs = C.log_normalise(hvg.hvg_counts(src, hvgs, ids), libs if libs is not None else C.library_sizes(src))
     picked = hvgs.where("highly_variable").select("gene_id")
-    emb = embed.pca(cut_lineage(embed.scaled_vectors(logs, picked)), n_dims).join(ids, "cell_id")
+    emb = embed.pca(cut_lineage(embed.scaled_vectors(logs, picked, ids)), n_dims).join(ids, "cell_id")
     if correct:
         emb = embed.batch_correct(emb, theta=theta)
     emb = cut_lineage(emb)
+    lost = ids.join(emb.select("cell_id"), "cell_id", "left_anti")
+    checks.gate(lost, "cells without an embedding")
     checks.gate(checks.nan_embeddings(emb), "missing values in the embedding")
     nn = cut_lineage(embed.knn(emb.select("cell_id", "embedding"), k))
     return emb.join(graph.graph_clusters(nn, resolutions), "cell_id")
@@ -114,10 +116,17 @@ def enrich(marker_table: DataFrame, sets: DataFrame, cut: float = 0.05, n_perm:
     return gsea.collapse_pathways(cut_lineage(out), cut)
 
 
-def label_cells(gene_sums: DataFrame, model: DataFrame, intercepts: DataFrame, clusters: DataFrame, min_prop: float = 0.5) -> DataFrame:
-    """Cell labels from a linear model and the majority label of each high-resolution cluster."""
-    logs = C.log_normalise(gene_sums, C.library_sizes(gene_sums))
-    return labels.majority_label(labels.classify_cells(logs, model, intercepts), clusters, min_prop)
+def label_cells(gene_sums: DataFrame, model: DataFrame, intercepts: DataFrame, clusters: DataFrame, min_prop: float = 0.5,
+                scaling: DataFrame | None = None) -> DataFrame:
+    """Cell labels from a linear model and the majority label of each high-resolution cluster.
+
+    Counts are scaled to the median library (of each batch, if ``gene_sums`` has batches). Every cell of the
+    counts is classified; ``scaling`` (gene_id, centre, scale) is the model's own.
+    """
+    by = ["batch"] if "batch" in gene_sums.columns else None
+    logs = C.normalise_total(gene_sums, by=by)
+    called = labels.classify_cells(logs, model, intercepts, "normcount", gene_sums, scaling)
+    return labels.majority_label(called, clusters, min_prop)
 
 
 @dataclass(frozen=True)

@@ -199,11 +199,14 @@ def _unique_markers(spark, sf):
     return line_markers(spark, sf).withColumn("symbol", F.concat_ws("_", "symbol", F.col("gene_id").cast("string")))
 
 
-@query("gsea_ranks", _MK + """, lf AS (SELECT MIN(CASE WHEN "FDR" > 0 THEN "FDR" END) AS m FROM mk),
-  u AS (SELECT cluster, symbol FROM mk GROUP BY 1, 2 HAVING COUNT(*) = 1)
-  SELECT cluster, symbol, round(-(CASE WHEN "FDR" > 0 THEN log10("FDR") ELSE log10(m) - 1 END) * sign("logFC"), 6) + 0.0 AS stat FROM mk JOIN u USING (cluster, symbol), lf""")
+@query("gsea_ranks", _MK + """, sy AS (SELECT *, CASE WHEN gene_id % 7 = 0 THEN symbol ELSE symbol || '_' || CAST(gene_id AS VARCHAR) END AS name FROM mk),
+  lf AS (SELECT MIN(CASE WHEN "FDR" > 0 THEN "FDR" END) AS m FROM mk),
+  u AS (SELECT cluster, name FROM sy GROUP BY 1, 2 HAVING COUNT(*) = 1)
+  SELECT cluster, name AS symbol, round(-(CASE WHEN "FDR" > 0 THEN log10("FDR") ELSE log10(m) - 1 END) * sign("logFC"), 6) + 0.0 AS stat FROM sy JOIN u USING (cluster, name), lf""")
 def gsea_ranks(spark, sf):
-    return rounded(G.gsea_ranks(line_markers(spark, sf)))
+    """A seventh of the genes keep a symbol that others share; the rest get one of their own."""
+    name = F.when(F.col("gene_id") % 7 == 0, F.col("symbol")).otherwise(F.concat_ws("_", "symbol", F.col("gene_id").cast("string")))
+    return rounded(G.gsea_ranks(line_markers(spark, sf).withColumn("symbol", name)))
 
 
 GS = _MK + f""", lf AS (SELECT MIN(CASE WHEN "FDR" > 0 THEN "FDR" END) AS m FROM mk),
