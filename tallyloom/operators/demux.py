@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,21 +60,26 @@ def hto_long(tags: DataFrame) -> DataFrame:
     return clr_normalise(tags).join(tot, ["pool_id", "cell_id"]).withColumn("prop", F.col("count") / F.col("hto_total"))
 
 
-def hto_demux(tags: DataFrame, quantile: float = 0.99, seed: int = 42) -> DataFrame:
-    """Class (negative, singlet, doublet) and best tag of every cell.
+def hto_demux(tags: DataFrame, quantile: float = 0.99, rounds: int = 10) -> DataFrame:
+    """Class (negative, singlet, doublet) and best tag of every cell, pool by pool.
 
-    Cells are clustered on their normalised tags (tags + 1 clusters over all pools). For each pool
-    and tag the cluster with the lowest mean is its background; a negative binomial fitted to the
-    background counts gives the cut above which a cell is positive for the tag.
+    The cells of a pool are clustered on the normalised counts of the pool's own tags (tags + 1 clusters:
+    a cell starts at its best tag, or at none when that is below the pool's mean best; ``rounds`` rounds of
+    k-means, centres as a long table, for all pools at once). For each pool and tag the cluster with the
+    lowest mean is its background; a negative binomial fitted to the background counts gives the cut above
+    which a cell is positive for the tag.
     """
     full = cut_lineage(clr_normalise(complete_tags(tags)))
-    names = [r[0] for r in full.select("hto_id").distinct().orderBy("hto_id").limit(1000).collect()]
-    vec = full.groupBy("pool_id", "cell_id").agg(*[
-        F.coalesce(F.max(F.when(F.col("hto_id") == t, F.col("norm_count"))), F.lit(0.0)).alias(f"_t{i}") for i, t in enumerate(names)])
-    vec = vec.select("pool_id", "cell_id", array_to_vector(F.array(*[f"_t{i}" for i in range(len(names))])).alias("features"))
-    model = KMeans(k=len(names) + 1, seed=seed, maxIter=30).fit(vec)
-    cl = model.transform(vec).select("pool_id", "cell_id", F.col("prediction").alias("_k"))
-    x = full.join(cl, ["pool_id", "cell_id"])
+    key = ["pool_id", "cell_id"]
+    best = full.groupBy(*key).agg(F.max(F.struct("norm_count", "hto_id")).alias("_b"))
+    usual = best.groupBy("pool_id").agg(F.avg("_b.norm_count").alias("_u"))
+    cl = best.join(usual, "pool_id").select(*key, F.when(F.col("_b.norm_count") >= F.col("_u"), F.col("_b.hto_id")).otherwise("").alias("_k"))
+    for _ in range(rounds):
+        cl = cut_lineage(cl)
+        centres = full.join(cl, key).groupBy("pool_id", "_k", "hto_id").agg(F.avg("norm_count").alias("_m"))
+        away = full.join(centres, ["pool_id", "hto_id"]).groupBy(*key, "_k").agg(F.sum((F.col("norm_count") - F.col("_m")) ** 2).alias("_d"))
+        cl = away.groupBy(*key).agg(F.min_by("_k", F.struct("_d", "_k")).alias("_k"))
+    x = full.join(cut_lineage(cl), key)
     stats = x.groupBy("pool_id", "hto_id", "_k").agg(
         F.avg("norm_count").alias("_m"), F.avg("count").alias("mean"), F.coalesce(F.var_samp("count"), F.lit(0.0)).alias("variance"))
     bg = stats.groupBy("pool_id", "hto_id").agg(F.min_by(F.struct("mean", "variance"), F.struct("_m", "_k")).alias("b"))

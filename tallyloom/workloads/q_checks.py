@@ -35,11 +35,18 @@ def check_set_differences(spark, sf):
     return checks.set_differences(roles.table(spark, sf, "orders").select(F.col("o_custkey").alias("id")), roles.table(spark, sf, "documents").select(F.col("doc_id").alias("id")), "id")
 
 
-@query("check_exclusion_list", """SELECT CAST(l_partkey AS VARCHAR) AS value, 'duplicated' AS problem FROM lineitem WHERE l_quantity = 50 GROUP BY 1 HAVING COUNT(*) > 1
-  UNION ALL SELECT DISTINCT CAST(l_partkey AS VARCHAR), 'unknown' FROM lineitem WHERE l_quantity = 50 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 3)""")
+_LISTED = "SELECT CASE WHEN l_quantity = 50 THEN l_partkey + 10000000 ELSE l_partkey END AS gene_id, l_returnflag FROM lineitem"  # lines of fifty name unknown genes
+
+
+@query("check_exclusion_list", f"""WITH li AS ({_LISTED}) SELECT CAST(gene_id AS VARCHAR) AS value, 'duplicated' AS problem FROM li GROUP BY 1 HAVING COUNT(*) > 1
+  UNION ALL SELECT DISTINCT CAST(gene_id AS VARCHAR), 'unknown' FROM li WHERE gene_id NOT IN (SELECT p_partkey FROM part)""")
 def check_exclusion_list(spark, sf):
-    listed = roles.table(spark, sf, "lineitem").where("l_quantity = 50").select(F.col("l_partkey").alias("gene_id"))
-    return checks.exclusion_list(listed, roles.genes(spark, sf).where("start > 3"))
+    return checks.exclusion_list(_listed(spark, sf).select("gene_id"), roles.genes(spark, sf))
+
+
+def _listed(spark, sf):
+    c = roles.cell_counts(spark, sf)
+    return c.withColumn("gene_id", F.when(F.col("count") == 50, F.col("gene_id") + 10000000).otherwise(F.col("gene_id")))
 
 
 @query("check_marker_set", "SELECT p_name AS symbol, COUNT(*) AS n FROM part GROUP BY 1 HAVING COUNT(*) > 1")
@@ -47,16 +54,17 @@ def check_marker_set(spark, sf):
     return checks.marker_set(roles.table(spark, sf, "part").select(F.col("p_brand").alias("label"), F.col("p_name").alias("symbol")))
 
 
-@query("check_splice_features", """SELECT l_partkey AS gene_id, CASE WHEN p_size IS NULL THEN 'unknown gene' ELSE 'incomplete' END AS problem
-  FROM (SELECT l_partkey, COUNT(DISTINCT l_returnflag) AS n FROM lineitem WHERE l_quantity > 40 GROUP BY 1) LEFT JOIN (SELECT * FROM part WHERE p_size > 2) ON l_partkey = p_partkey WHERE n <> 3 OR p_size IS NULL""")
+@query("check_splice_features", f"""SELECT gene_id, CASE WHEN p_size IS NULL THEN 'unknown gene' ELSE 'incomplete' END AS problem
+  FROM (SELECT gene_id, COUNT(DISTINCT l_returnflag) AS n FROM ({_LISTED}) GROUP BY 1) LEFT JOIN part ON gene_id = p_partkey WHERE n <> 3 OR p_size IS NULL""")
 def check_splice_features(spark, sf):
-    f = roles.cell_counts(spark, sf).where("count > 40").select("gene_id", "splice")
-    return checks.splice_features(f, roles.genes(spark, sf).where("start > 2"))
+    return checks.splice_features(_listed(spark, sf).select("gene_id", "splice"), roles.genes(spark, sf))
 
 
-@query("check_qc_values", QC + " SELECT cell_id, 'bad value' AS problem FROM m WHERE log_counts < 0 OR log_feats < 0 OR isnan(logit_mito) OR isinf(logit_mito)")
+@query("check_qc_values", QC + " SELECT cell_id, 'bad value' AS problem FROM m WHERE log_counts < 0 OR log_feats < 0 OR isnan(logit_mito) OR isinf(logit_mito) OR cell_id % 40 = 0")
 def check_qc_values(spark, sf):
-    return checks.qc_values(roles.qc_cells(spark, sf), ["log_counts", "log_feats", "logit_mito"])
+    """Every fortieth cell gets a value that is no number."""
+    cells = roles.qc_cells(spark, sf).withColumn("log_counts", F.when(F.col("cell_id") % 40 == 0, float("nan")).otherwise(F.col("log_counts")))
+    return checks.qc_values(cells, ["log_counts", "log_feats", "logit_mito"])
 
 
 @query("check_hvg_selection", q_hvg.RANK + " SELECT CAST(gene_id AS VARCHAR) AS value, 'excluded gene selected' AS problem FROM hv WHERE highly_variable AND gene_id IN (SELECT p_partkey FROM part WHERE p_type = 'SMALL')")
@@ -89,7 +97,9 @@ def check_unknown_labels(spark, sf):
     return checks.unknown_labels(roles.table(spark, sf, "part"), "p_type", ["LARGE", "TINY"])
 
 
-@query("check_identical_tables", """WITH t AS (SELECT o_orderpriority AS run, list_sort(list(DISTINCT o_orderstatus)) AS v FROM orders GROUP BY 1), m AS (SELECT v FROM t GROUP BY 1 ORDER BY COUNT(*) DESC LIMIT 1)
-  SELECT run FROM t WHERE v <> (SELECT v FROM m)""")
+@query("check_identical_tables", """WITH t AS (SELECT o_orderpriority AS run, list_sort(list(DISTINCT o_orderstatus)) AS v FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P') GROUP BY 1),
+  m AS (SELECT v FROM t GROUP BY 1 ORDER BY COUNT(*) DESC LIMIT 1) SELECT run FROM t WHERE v <> (SELECT v FROM m)""")
 def check_identical_tables(spark, sf):
-    return checks.identical_tables(roles.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("run"), "o_orderstatus").distinct(), "run")
+    """One run lacks a row that the others have."""
+    o = roles.table(spark, sf, "orders").where("NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')")
+    return checks.identical_tables(o.select(F.col("o_orderpriority").alias("run"), "o_orderstatus").distinct(), "run")
