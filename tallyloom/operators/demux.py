@@ -64,16 +64,17 @@ def hto_demux(tags: DataFrame, quantile: float = 0.99, rounds: int = 10) -> Data
     """Class (negative, singlet, doublet) and best tag of every cell, pool by pool.
 
     The cells of a pool are clustered on the normalised counts of the pool's own tags (tags + 1 clusters:
-    a cell starts at its best tag, or at none when that is below the pool's mean best; ``rounds`` rounds of
-    k-means, centres as a long table, for all pools at once). For each pool and tag the cluster with the
+    a cell starts at its best tag, or at none when its lead over the next is under half of the pool's mean lead;
+    ``rounds`` rounds of k-means, centres as a long table, for all pools at once). For each pool and tag the cluster with the
     lowest mean is its background; a negative binomial fitted to the background counts gives the cut above
     which a cell is positive for the tag.
     """
     full = cut_lineage(clr_normalise(complete_tags(tags)))
     key = ["pool_id", "cell_id"]
-    best = full.groupBy(*key).agg(F.max(F.struct("norm_count", "hto_id")).alias("_b"))
-    usual = best.groupBy("pool_id").agg(F.avg("_b.norm_count").alias("_u"))
-    cl = best.join(usual, "pool_id").select(*key, F.when(F.col("_b.norm_count") >= F.col("_u"), F.col("_b.hto_id")).otherwise("").alias("_k"))
+    two = F.slice(F.sort_array(F.collect_list(F.struct("norm_count", "hto_id")), False), 1, 2)  # a row per tag of the pool
+    best = full.groupBy(*key).agg(two.alias("_b")).withColumn("_lead", F.col("_b")[0]["norm_count"] - F.coalesce(F.try_element_at("_b", F.lit(2))["norm_count"], F.lit(0.0)))
+    usual = best.groupBy("pool_id").agg((F.avg("_lead") / 2).alias("_u"))
+    cl = best.join(usual, "pool_id").select(*key, F.when(F.col("_lead") >= F.col("_u"), F.col("_b")[0]["hto_id"]).otherwise("").alias("_k"))
     for _ in range(rounds):
         cl = cut_lineage(cl)
         centres = full.join(cl, key).groupBy("pool_id", "_k", "hto_id").agg(F.avg("norm_count").alias("_m"))
