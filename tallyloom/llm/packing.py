@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.llm import arrays as A
+from tallyloom.session import ensure_checkpoint_dir
 
 SLICE = 4 << 20
 GENERATION = 250_000
@@ -156,6 +157,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
     offset. Null and empty texts are a document of the end token alone; rows with equal or null ids are
     documents of their own; an empty table gives no rows; other columns are not read.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     pieces = token_pieces(docs, tokenizer, capacity, end_id, keep_ids).withColumn("_part", F.spark_partition_id()).checkpoint()
     counts = pieces.groupBy("length", "_part").agg(F.count("*").alias("_n")).checkpoint()
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}

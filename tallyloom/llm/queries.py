@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, debruijn, decontam, langid, minhash, packing, shards, suffix_dedup, toxicity, urlrules
+from tallyloom.llm import ann, debruijn, decontam, langid, minhash, packing, shards, sql, suffix_dedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_prefix_sum_shards": sql.SHARDS, "op5_suffix_array_dedup": sql.SUFFIXES, "op7_debruijn_dedup": sql.WORD_WINDOWS, "op10_circulant_minhash": sql.NEAR_DUPLICATES}
 
 
 def query(fn):

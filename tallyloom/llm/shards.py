@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.session import ensure_checkpoint_dir
+
 ROW_OVERHEAD = 16
 
 
@@ -21,6 +23,7 @@ def plan_shards(docs: DataFrame, n_shards: int, overhead: int = ROW_OVERHEAD) ->
     Null text has no bytes and checksum 0; null ids come first; equal rows are separate rows, neighbours
     in the order; an empty table gives no rows; other columns are not read.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     slim = docs.select("doc_id", (F.octet_length(raw).cast("long") + overhead).alias("size"), F.crc32(raw).alias("text_crc32")).withColumn(
         "_row", F.monotonically_increasing_id())

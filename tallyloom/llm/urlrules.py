@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.session import ensure_checkpoint_dir
+
 
 def url_host(url: Column) -> Column:
     """What stands between the first ``://`` and the next ``/``, ``?``, ``#`` or end, A-Z lower-cased."""
@@ -30,6 +32,7 @@ def _sweep(points: DataFrame, marks: DataFrame, keys: list[str], state: str) ->
     Points and marks are range-partitioned by key together, a row number splitting equal keys, and swept
     in order. A partition starts with the last state of the partitions before it, taken from one row each.
     """
+    ensure_checkpoint_dir(points.sparkSession)
     both = points.withColumn(state, F.lit(None).cast(marks.schema[state].dataType)).withColumn("_kind", F.lit(1)).unionByName(
         marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True).withColumn("_row", F.monotonically_increasing_id())
     order = [*keys, "_kind", "_row"]
