@@ -153,8 +153,10 @@ def judge_contexts(packed: pa.Table, strict_id: bool, sources: bool) -> pa.Table
     # minimisers with more than one distinct context
     heads = np.unique(first)
     keys, n = np.unique(box.fields["key"][heads], return_counts=True)
-    many = n[np.searchsorted(keys, box.fields["key"])] > 1
+    many = n[np.minimum(np.searchsorted(keys, box.fields["key"]), len(keys) - 1)] > 1
     status[~later & many] = OPEN
+    # equal contexts have equal minimisers: 96 bits in all
+    status[later & (box.fields["key"] != box.fields["key"][first])] = OPEN
     if not sources:
         return answer(box, status=status)
     # a second, independent fingerprint: what differs there isn't the same passage

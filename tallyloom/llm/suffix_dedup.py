@@ -57,7 +57,7 @@ def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int
     Texts are judged on the input. The suffixes that can match are found by minimiser (``repeats``); those
     that no whole context settles go, in the order of doc_id and in batches of about ``batch`` suffixes, to
     the suffix arrays of their minimiser's bucket, where full strings are compared. Whole contexts (up to
-    ``2 * window - k`` bytes) are compared by 64-bit fingerprints.
+    ``2 * window - k`` bytes) are compared by fingerprints (64 bits, and 32 of the minimiser).
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept
     (remaining bytes), spans. Null and empty texts have no bytes; texts shorter than the window lose
