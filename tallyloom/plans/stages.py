@@ -65,8 +65,10 @@ def find_hvgs(gene_sums: DataFrame, cells: DataFrame, n: int = 2000, method: str
     by = "batch" if method == "sample" else "group"
     src = gene_sums.drop(*[c for c in ("batch", "group") if c in gene_sums.columns]).join(ids, "cell_id")
     n_cells = ids.groupBy(by).agg(F.count(F.lit(1)).alias("n_cells"))
-    out = hvg.highly_variable_genes(hvg.gene_variances(src, n_cells, by, trend=trend), n, by, exclude)
-    return cut_lineage(out)
+    out = cut_lineage(hvg.highly_variable_genes(hvg.gene_variances(src, n_cells, by, trend=trend), n, by, exclude))
+    none = out.where("false").select("gene_id")
+    checks.gate(checks.hvg_selection(out, none if exclude is None else exclude, n), "selected genes")
+    return out
 
 
 def integrate_once(gene_sums: DataFrame, cells: DataFrame, hvgs: DataFrame, resolutions: Sequence[float], n_dims: int = 50, theta: float = 0.1,
