@@ -15,7 +15,8 @@ from tallyloom.llm import arrays as A
 
 BUCKETS = 1 << 16  # hashed byte n-grams
 ORDERS = (1, 2, 3, 4)
-SLICE = 3 << 20
+SLICE = 2 << 20
+WORDS = 1 << 14
 UND = "und"
 # fixed values: first code points of Unicode ranges, and the script of each (0: no letters)
 RANGES = [
@@ -104,15 +105,19 @@ class Model:
     def word_scores(self, w: WordStream) -> np.ndarray:
         if len(w.start) == 0:
             return np.zeros((0, len(self.langs)), np.float32)
-        n = len(w.buckets[0])
-        sums = np.zeros((n + 1, len(self.langs)), np.float64)
-        per_byte = sum(self.weights[o * BUCKETS : (o + 1) * BUCKETS].take(b, axis=0) for o, b in enumerate(w.buckets))
-        np.cumsum(per_byte, axis=0, out=sums[1:])
-        s = np.clip(sums[w.end] - sums[w.start], -self.cap, self.cap)
+        s = np.empty((len(w.start), len(self.langs)), np.float32)
+        for i in range(0, len(s), WORDS):  # a bounded number of words at a time
+            start, end = w.start[i : i + WORDS], w.end[i : i + WORDS]
+            low, high = start[0], end[-1]
+            per_byte = sum(self.weights[o * BUCKETS : (o + 1) * BUCKETS].take(b[low:high], axis=0) for o, b in enumerate(w.buckets))
+            sums = np.zeros((high - low + 1, len(self.langs)))
+            np.cumsum(per_byte, axis=0, out=sums[1:])
+            s[i : i + WORDS] = sums[end - low] - sums[start - low]
+        s = np.clip(s, -self.cap, self.cap)
         ok = self.allowed[w.script]
         s[~ok] = -2 * self.cap
         s[~ok.any(1)] = 0
-        return s.astype(np.float32)
+        return s
 
 
 def viterbi(scores: np.ndarray, offs: np.ndarray, penalty: float) -> np.ndarray:
@@ -201,14 +206,15 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
     Columns of ``keep`` (default doc_id) come first; an empty table gives no rows.
     """
     keep = keep or ["doc_id"]
-    source = docs.select(*keep, F.col("text").alias("_text"))
+    given = list(keep)
+    source = docs.select(*given) if "text" in given else docs.select(*given, "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets and languages
     span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("last", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        for batch in A.slices(batches, "_text", SLICE):
-            text = batch.column(batch.num_columns - 1)
+        for batch in A.slices(batches, "text", SLICE):
+            text = batch.column(batch.schema.get_field_index("text"))
             n = batch.num_rows
             w = word_stream(text)
             count = np.diff(w.offs)
@@ -234,9 +240,9 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                 for r in np.flatnonzero(count == 0).tolist():
                     if _has_letter(text[r].as_py()):  # only letters that the ranges don't know
                         pred[r] = m.langs[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score), pa.array(spans, span)], [*batch.schema.names[:-1], "lang_pred", "score", "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(given)], pa.array(pred, pa.string()), pa.array(score), pa.array(spans, span)], [*given, "lang_pred", "score", "spans"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(given)])
     return source.mapInArrow(run, f"{fields}, lang_pred string, score double, spans array<struct<lang:string,first:long,last:long>>")
 
 

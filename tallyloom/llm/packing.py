@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -20,10 +21,12 @@ from tallyloom.llm import arrays as A
 from tallyloom.session import ensure_checkpoint_dir
 
 SLICE = 4 << 20
-GENERATION = 250_000
+GENERATION = 150_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 # Python splits at these, the tokenizer doesn't
 _ODD = re.compile("[\x1c-\x1f]")
+_SIGNS = frozenset(".,!?;:")
+_SPECIAL = frozenset("\u0130\u03a3")  # letters whose lower case differs between the two
 
 
 class TokenBytes:
@@ -37,15 +40,33 @@ class TokenBytes:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        size = self.tok.get_vocab_size()
+        self.ends_word = np.array([(self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
-    def _lookup(self, words: set[str]) -> dict[str, bytes]:
+    def _fresh(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters are one unit each, which ends in a token that ends words; many are encoded as one text."""
+        letters = [w for w in words if w.isalpha()]
+        others = [w for w in words if not w.isalpha()]
+        out = dict(zip(others, self._encode(others)))
+        for i in range(0, len(letters), 4096):
+            part = letters[i : i + 4096]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast([" ".join(part[j : j + 256]) for j in range(0, len(part), 256)], add_special_tokens=False)])
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out.update((w, raw[s:e]) for w, s, e in zip(part, at, at[1:]))
+            else:
+                out.update(zip(part, self._encode(part)))
+        return out
+
+    def _bases(self, bases: set[str]) -> dict[str, bytes]:
         new, old, found, missing = self.new, self.old, {}, []
-        for w in words:
+        for w in bases:
             ids = new.get(w)
             if ids is None:
                 ids = old.get(w)
@@ -54,13 +75,32 @@ class TokenBytes:
                     continue
                 new[w] = ids
             found[w] = ids
-        fresh = dict(zip(missing, self._encode(missing)))
+        fresh = self._fresh(missing)
         new.update(fresh)
         found.update(fresh)
         if len(new) > GENERATION:
             self.old, self.new = new, {}
         return found
 
+    def _lookup(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words. Only bases are remembered: a run of letters in lower case, and one sign behind it; the
+        tokenizer lower-cases and never joins letters with signs. Other words are bases themselves."""
+        parts, bases = {}, set()
+        for w in words:
+            core, tail = (w[:-1], w[-1]) if w[-1] in _SIGNS else (w, "")
+            if core.isalpha() and (core.isascii() or (_SPECIAL.isdisjoint(core) and unicodedata.is_normalized("NFC", core))):
+                core = core.lower()
+                if core != w:
+                    parts[w] = core, tail
+                if tail:
+                    bases.add(tail)
+                bases.add(core)
+            else:
+                bases.add(w)
+        found = self._bases(bases)
+        found.update({w: found[core] + found[tail] if tail else found[core] for w, (core, tail) in parts.items()})
+        return found
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD.search(t) else t.split() for t in texts]
         words: set[str] = set()
