@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import arrays as A
+from tallyloom.session import ensure_checkpoint_dir
 
 FEATURES = "doc_id long, n long, h1 long, h2 long, sig binary"
 SLICE = 1 << 19  # bytes of text at a time
@@ -82,19 +83,21 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("rep"), "text").mapInArrow(run, "rep long, items binary")
 
 
+def similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * |A and B| >= percent * |A or B|."""
+    if len(p) > len(q):
+        p, q = q, p
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    common = int((q[at] == p).sum())
+    return 100 * common >= percent * (len(p) + len(q) - common)
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets have 100 * |A and B| >= percent * |A or B|."""
+    """Those pairs (a, b) whose full sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                common = int((q[at] == p).sum())
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
+            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("_x")), "a").join(
@@ -103,6 +106,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(rep, label): smallest id reachable from each linked id. Labels of an earlier call speed up."""
+    ensure_checkpoint_dir(links.sparkSession)
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     now = both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "rep")
     if labels is not None:
@@ -120,20 +124,40 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return now
 
 
-def stubborn_pairs(members: DataFrame, bands: int, rows: int, percent: int, block: int = 256) -> DataFrame:
-    """Candidate pairs (a, b) of one bucket and different labels that pivots have not joined.
+def least_share(percent: int, size: int) -> float:
+    """Share of equal coordinates that a pair at the threshold has but for five standard deviations."""
+    p = percent / 100
+    return p - 5 * (p * (1 - p) / size) ** 0.5
+
+
+def likely(pairs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose signatures (x, y) allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(v.as_buffer() for v in batch.column(i)), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array((x == y).mean(1) >= least_share(percent, x.shape[1])))
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def stubborn_links(members: DataFrame, bands: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
+    """Links (a, b) between components of one bucket that pivots have not joined.
 
-    members: bucket, rep, n, label, sig. In each bucket those outside the largest component meet all
-    others, block by block; a pair is made where its signature allows ``percent`` less ten standard
-    deviations or more, in the first bucket that it shares.
+    members: bucket, rep, n, label, sig, items. In each bucket those outside the largest component meet all
+    others, block by block. A pair is looked at in the first bucket that it shares; where its signatures
+    allow the similarity the full sets decide. Each one outside hands on one link to each component of a
+    block, never its candidates. Without ``items`` the result is who has candidates at all (bucket, rep).
     """
+    with_items = "items" in members.columns
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("c"))
     big = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("big"), F.sum("c").alias("all"), F.max("c").alias("most"), F.count("*").alias("labels")).where("labels > 1")
     every = members.join(big, "bucket").withColumn("stray", F.col("label") != F.col("big"))
     n_stray, n_all = F.ceil((F.col("all") - F.col("most")) / block), F.ceil(F.col("all") / block)
     h = F.xxhash64("rep")
     own = F.pmod(h, n_all).cast("int")
-    cols = ["bucket", "rep", "n", "label", "sig", "stray"]
+    cols = [*members.columns, "stray"]
     left = every.where("stray").select(*cols, F.lit(True).alias("side"), F.pmod(F.xxhash64("rep", F.lit(1)), n_stray).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), (n_all - 1).cast("int"))).alias("j"))
     right = every.select(*cols, F.lit(False).alias("side"), F.explode(F.sequence(F.lit(0), (n_stray - 1).cast("int"))).alias("i"), own.alias("j"))
 
@@ -146,7 +170,8 @@ def stubborn_pairs(members: DataFrame, bands: int, rows: int, percent: int, bloc
         band = t.column("bucket")[0].as_py() % bands
         at_right = np.flatnonzero(~side)
         size = sig.shape[1]
-        least = percent / 100 - 10 * np.sqrt(percent / 100 * (1 - percent / 100) / size)
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("items").combine_chunks()] if with_items else []
+        least, busy = least_share(percent, size), np.zeros(len(rep), bool)
         a, b = [], []
         for i in np.flatnonzero(side):
             ok = at_right[(label[at_right] != label[i]) & (100 * np.minimum(n[at_right], n[i]) >= percent * np.maximum(n[at_right], n[i])) & (~stray[at_right] | (rep[at_right] > rep[i]))]
@@ -154,12 +179,19 @@ def stubborn_pairs(members: DataFrame, bands: int, rows: int, percent: int, bloc
                 same = sig[ok] == sig[i]
                 first = same.reshape(len(ok), bands, rows).all(2).argmax(1)
                 ok = ok[(same.mean(1) >= least) & (first == band)]
-                a.append(np.minimum(rep[ok], rep[i]))
-                b.append(np.maximum(rep[ok], rep[i]))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+                busy[ok] = True
+                busy[i] |= len(ok) > 0
+                found = set()
+                for j in ok.tolist() if with_items else []:
+                    if label[j] not in found and similar(items[i], items[j], percent):
+                        found.add(label[j])
+                        a.append(min(rep[i], rep[j]))
+                        b.append(max(rep[i], rep[j]))
+        if with_items:
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"bucket": t.column("bucket").filter(pa.array(busy)), "rep": pa.array(rep[busy], pa.int64())})
 
-    return left.unionAll(right).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
+    return left.unionAll(right).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long" if with_items else "bucket long, rep long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -167,8 +199,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
 
     Equal shingle sets are one class, represented by the smallest doc_id; only classes are compared. In
     each bucket of a band all members meet the bucket's smallest id first (a star, not all pairs), links are
-    confirmed on full sets, and components follow. Buckets that still hold several components let those
-    outside the largest one meet all others. A pair at exactly the threshold is missed by all bands with
+    confirmed on full sets, and components follow. Buckets that still hold several components try another
+    pivot, and in those left all outside the largest component meet all others in blocks. A pair at exactly the threshold is missed by all bands with
     probability (1 - 0.8**4)**32, about 4e-8.
 
     One row per input row: doc_id, n_shingles, component_id, kept. Null text, empty text and texts without
@@ -176,6 +208,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
     unless all of it is null (component_id null, kept). Rows with one id are all returned; ids are taken
     to name one text. An empty table gives no rows; other columns are not read.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     feats = features(docs, width, bands * rows).checkpoint()
     some = feats.where("n > 0")
     classes = some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("sig").alias("sig"))
@@ -196,12 +229,21 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
     links = confirm(pairs, sets, percent).checkpoint()
     labels = components(links)
 
-    # buckets that still hold several components
-    marked = members.select("bucket", "rep", "n").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    again = marked.join(mixed, "bucket", "left_semi").join(known.select("rep", "sig"), "rep").select("bucket", "rep", "n", "label", "sig")
-    more = confirm(stubborn_pairs(again, bands, rows, percent).distinct(), sets, percent).checkpoint()
-    labels = components(more, labels)
+    def mixed(some: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, with their labels."""
+        marked = some.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        split = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+        return marked.join(split, "bucket", "left_semi")
+
+    # another pivot for each of these buckets, by a hash, so that a document meets many of them
+    left = mixed(members.select("bucket", "rep", "n"), labels).join(known.select("rep", "sig"), "rep").checkpoint()
+    second = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "label", "sig"), F.xxhash64("rep", "bucket")).alias("pivot"))
+    others = left.join(second, "bucket").where(F.col("label") != F.col("pivot.label")).where(fits)
+    pairs = likely(others.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b"), F.col("sig").alias("x"), F.col("pivot.sig").alias("y")), percent)
+    labels = components(confirm(pairs, sets, percent).checkpoint(), labels)
+    again = mixed(left.drop("label"), labels).select("bucket", "rep", "n", "label", "sig")
+    busy = stubborn_links(again, bands, rows, percent).distinct().checkpoint()
+    labels = components(stubborn_links(again.join(busy, ["bucket", "rep"], "left_semi").join(sets, "rep"), bands, rows, percent).distinct().checkpoint(), labels)
 
     of_class = classes.select("n", "h1", "h2", "rep").join(labels, "rep", "left").select("n", "h1", "h2", F.coalesce("label", "rep").alias("component"))
     single = feats.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
