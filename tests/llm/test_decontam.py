@@ -68,3 +68,12 @@ def test_table(spark, monkeypatch, blocks):
     exact = {(d["doc_id"], b["item_id"]) for d in docs for b in bench if b["text"].lower() in d["text"].lower()}
     assert exact and all(got[p] == 1.0 for p in exact)
     assert len(rows) == len(got) <= len(exact) + 3
+
+
+def test_edited_copies_in_a_hot_group_beside_a_clean_one(spark):
+    item = [f"item{i}" for i in range(38)]
+    edited = [f"other{i}" if i % 4 == 3 else w for i, w in enumerate(item)]
+    docs = [(d, " ".join([f"pad{d}"] * 5 + edited + [f"end{d}"] * 5)) for d in range(300)]
+    docs += [(500, " ".join(item)), (501, "item0 item1 item2 item3 and no more of it")]
+    got = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["score"] > 0.6 for r in got} == {d: True for d in [*range(300), 500]} and len(got) == 301
