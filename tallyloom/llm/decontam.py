@@ -148,14 +148,15 @@ def reach(it: Items, item: np.ndarray, known: np.ndarray, first: np.ndarray, las
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5, min_hits: int = 2) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5) -> DataFrame:
     """Pairs of a document (doc_id, text) and a test item (item_id, text) that it holds, maybe edited.
 
     Seeds: all n-grams of the items' words, however frequent they are; letters are lower-cased on both sides.
     Hits of one item in one document that lie within an item's
-    length of each other make a passage; with ``min_hits`` of them (or all, if the item has fewer seeds) it
-    is aligned, unless the words it shares with the item cannot add up to ``least`` (``reach``). Equal passages
-    are aligned once for the rows at hand. The score is that of the best alignment over that of the item with itself; pairs of
+    length of each other make a passage, with as many words around it as an alignment of score ``least`` can
+    have. It is aligned, be it for a single hit, unless the words it shares with the item cannot add up to ``least`` (``reach``). Equal passages
+    are aligned once for the rows at hand. So every pair is found whose alignment has ``n`` equal words in a row;
+    one without (every third word replaced, at a score of 0.5) is not. The score is that of the best alignment over that of the item with itself; pairs of
     ``least`` and more are returned, one row per pair: doc_id, item_id, score, first_word and last_word of
     the aligned passage (words as ``plain_words`` has them), n_seeds.
 
@@ -175,7 +176,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float =
         items = load_items(rows, n)
         if not len(items.gram):
             continue
-        found = found.unionAll(_pairs(texts, items, n, least, min_hits))
+        found = found.unionAll(_pairs(texts, items, n, least))
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("first_word")).alias("_f"), "last_word", "n_seeds")).alias("_b")).select(
         "doc_id", "item_id", "_b.score", (-F.col("_b._f")).alias("first_word"), "_b.last_word", "_b.n_seeds")
 
@@ -198,13 +199,14 @@ def _parts(it: Items, at: np.ndarray, row: np.ndarray, number: np.ndarray) -> It
             yield np.repeat(at[i:j], each), np.arange(n) - np.repeat(np.cumsum(each) - each, each) + np.repeat(lo, each)
 
 
-def _pairs(texts: DataFrame, items: Items, n: int, least: float, min_hits: int) -> DataFrame:
+def _pairs(texts: DataFrame, items: Items, n: int, least: float) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         it: Items = shared.value
         length = np.diff(it.offs)
-        wanted = np.minimum(min_hits, np.bincount(it.item, minlength=len(it.ids)))
+        # with more words of the text left out, the score is below ``least``
+        gaps = np.floor(MATCH * length * (1 - least) / -GAP).astype(np.int64) + 1
         for batch in A.slices(batches, "text", SLICE):
             words, offs = plain_words(batch.column(1))
             at, value = grams(words, offs, n)
@@ -226,10 +228,8 @@ def _pairs(texts: DataFrame, items: Items, n: int, least: float, min_hits: int)
                 first = np.minimum.reduceat(place - it.place[seed], begin)
                 last = np.maximum.reduceat(place - it.place[seed] + length[item], begin)
                 row, item = row[begin], item[begin]
-                margin = length[item] // 4 + 1
-                first, last = np.maximum(first - margin, offs[row]), np.minimum(last + margin, offs[row + 1])
-                good = np.flatnonzero(hits >= wanted[item])
-                good = good[reach(it, item[good], known, first[good], last[good]) >= least * MATCH * length[item[good]]]
+                first, last = np.maximum(first - gaps[item], offs[row]), np.minimum(last + gaps[item], offs[row + 1])
+                good = np.flatnonzero(reach(it, item, known, first, last) >= least * MATCH * length[item])
                 if not len(good):
                     continue
                 # equal passages of an item: the first stands for all

@@ -77,3 +77,12 @@ def test_edited_copies_in_a_hot_group_beside_a_clean_one(spark):
     docs += [(500, " ".join(item)), (501, "item0 item1 item2 item3 and no more of it")]
     got = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
     assert {r["doc_id"]: r["score"] > 0.6 for r in got} == {d: True for d in [*range(300), 500]} and len(got) == 301
+
+
+def test_one_seed_is_enough(spark):
+    item = [f"item{i}" for i in range(15)]
+    edited = [f"other{i}" if i in (2, 5, 8, 11) else w for i, w in enumerate(item)]
+    apart = item[:4] + [f"new{i}" for i in range(5)] + item[4:]  # words put in between
+    docs = [(1, " ".join(["before"] * 9 + edited + ["after"] * 9)), (2, " ".join(apart)), (3, "item0 item1 item2 " * 3)]
+    got = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], round(r["score"], 4)) for r in got) == [(1, 0.6), (2, round(25 / 30, 4))]
