@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from tallyloom.llm import arrays as A
 
 LOWEST = -(1 << 63)
-KEEP, SETTLED, OPEN = 0, 1, 2
+KEEP, SETTLED, OPEN, HOT = 0, 1, 2, 3
 PACKET = "bucket int, g long, payload binary"
 
 
@@ -143,8 +143,8 @@ def answer(box: Bucket, **fields: np.ndarray) -> pa.Table:
     return packets([(box.bucket, g, pickle.dumps({n: v[e - s : e] for n, v in fields.items()}, 5)) for g, s, e in zip(box.groups, box.sizes, ends)])
 
 
-def judge_contexts(packed: pa.Table, strict_id: bool, sources: bool) -> pa.Table:
-    """Bucket side of pass 1."""
+def judge_contexts(packed: pa.Table, strict_id: bool, sources: bool, hot: int | None = None) -> pa.Table:
+    """Bucket side of pass 1. Open contexts of a minimiser that has more than ``hot`` distinct ones are HOT."""
     box = gather(packed)
     first = earliest(box.fields["context"], box.order)
     me = np.arange(len(first))
@@ -153,10 +153,12 @@ def judge_contexts(packed: pa.Table, strict_id: bool, sources: bool) -> pa.Table
     # minimisers with more than one distinct context
     heads = np.unique(first)
     keys, n = np.unique(box.fields["key"][heads], return_counts=True)
-    many = n[np.minimum(np.searchsorted(keys, box.fields["key"]), len(keys) - 1)] > 1
-    status[~later & many] = OPEN
+    n = n[np.minimum(np.searchsorted(keys, box.fields["key"]), len(keys) - 1)]
+    status[~later & (n > 1)] = OPEN
     # equal contexts have equal minimisers: 96 bits in all
     status[later & (box.fields["key"] != box.fields["key"][first])] = OPEN
+    if hot is not None:
+        status[(status == OPEN) & (n > hot)] = HOT
     if not sources:
         return answer(box, status=status)
     # a second, independent fingerprint: what differs there isn't the same passage

@@ -51,12 +51,14 @@ class SuffixLevels:
         return low[np.searchsorted(new_keys, keys)]
 
 
-def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int = 1 << 20, bucket_bytes: int = 16 << 20, batch: int = 1 << 17) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int = 1 << 20, bucket_bytes: int = 16 << 20, batch: int = 1 << 17, hot: int = 1 << 16) -> DataFrame:
     """Remove each byte covered by a ``window``-byte string that also starts in a row with a smaller doc_id.
 
     Texts are judged on the input. The suffixes that can match are found by minimiser (``repeats``); those
     that no whole context settles go, in the order of doc_id and in batches of about ``batch`` suffixes, to
-    the suffix arrays of their minimiser's bucket, where full strings are compared. Whole contexts (up to
+    the suffix arrays of their minimiser's bucket, where full strings are compared. A minimiser with more
+    than ``hot`` different contexts has no bucket: its suffixes, each once a group, are dealt by a hash of
+    their own, as equal ones share it. Whole contexts (up to
     ``2 * window - k`` bytes) are compared by fingerprints (64 bits, and 32 of the minimiser).
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept
@@ -77,26 +79,57 @@ def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int
         return R.send(grp, a.row[grp.sent], grp.bucket, key=(a.key[grp.sent] >> A.U64(32)).astype(np.uint32), context=a.context[grp.sent])
 
     def judge_contexts(t: pa.Table) -> pa.Table:
-        return R.judge_contexts(t, strict_id=True, sources=False)
+        return R.judge_contexts(t, strict_id=True, sources=False, hot=hot)
 
     def open_contexts(grp: R.Group, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         status = R.answers(grp, replies, grp.bucket, {"status": np.uint8})["status"]
         return status, np.flatnonzero(status == R.OPEN)
 
+    def hot_windows(grp: R.Group, status: np.ndarray):
+        """Windows of hot contexts: start, anchor and number of the string; for each string itself, its smallest id, its bucket."""
+        own = grp.sent[status == R.HOT]
+        place, owner = R.windows_of(grp.anchors.first[own], grp.anchors.last[own])
+        if not len(place):
+            return place, owner, place, place, place, place
+        text = np.lib.stride_tricks.sliding_window_view(grp.buf, window)
+        keys, one, number = np.unique(np.ascontiguousarray(text[place]).view(f"S{window}").ravel(), return_index=True, return_inverse=True)
+        low = np.full(len(keys), np.iinfo(np.int64).max)
+        np.minimum.at(low, number, grp.ids[grp.anchors.row[own[owner]]])
+        start = place[one]
+        return place, own[owner], number, keys, low, n_buckets + (grp.prefix.spans(start, start + window) % A.U64(4 * n_buckets)).astype(np.int64)
+
     def say_strings(t: pa.Table, replies: pa.Table) -> pa.Table:
         if t.num_rows == 0:
             return R.packets([])
         grp = load(t)
-        _, still = open_contexts(grp, replies)
+        status, still = open_contexts(grp, replies)
         a, out = grp.anchors, []
         for b, at in R.split(grp.bucket[still]):
             own = grp.sent[still[at]]
             length = a.last[own] - a.first[own] + window
             place, owner = R.windows_of(a.first[own], a.first[own] + length - 1)
             out.append((b, grp.g, _pickle({"ids": grp.ids[a.row[own]], "length": length.astype(np.uint16), "bytes": grp.buf[place].tobytes()})))
+        _, _, _, keys, low, bucket = hot_windows(grp, status)
+        out += [(b, grp.g, low[at].tobytes() + keys[at].tobytes()) for b, at in R.split(bucket)]
         return R.packets(out)
 
+    def judge_hot(t: pa.Table) -> pa.Table:
+        loads = [x.as_py() for x in t.column("payload")]
+        gs, bucket = t.column("g").to_pylist(), t.column("bucket")[0].as_py()
+        size = [len(x) // (8 + window) for x in loads]
+        ids = np.concatenate([np.frombuffer(x, np.int64, n) for x, n in zip(loads, size)])
+        keys = np.concatenate([np.frombuffer(x, f"S{window}", n, 8 * n) for x, n in zip(loads, size)])
+        order = np.argsort(ids, kind="stable")
+        family, low = SuffixLevels(window), np.zeros(len(ids), np.int64)
+        for i in range(0, len(order), batch):
+            part = order[i : i + batch]
+            low[part] = family.add(keys[part], ids[part])
+        ends = np.cumsum(size)
+        return R.packets([(bucket, g, low[e - n : e].tobytes()) for g, n, e in zip(gs, size, ends)])
+
     def judge_strings(t: pa.Table) -> pa.Table:
+        if t.column("bucket")[0].as_py() >= n_buckets:
+            return judge_hot(t)
         loads = [_unpickle(x) for x in t.column("payload")]
         gs, bucket = t.column("g").to_pylist(), t.column("bucket")[0].as_py()
         ids = np.concatenate([x["ids"] for x in loads])
@@ -143,6 +176,8 @@ def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int
         strings = replies.filter(pa.array(kinds == 2))
         starts: dict[int, np.ndarray] = {}
         for b, payload in zip(strings.column("bucket").to_pylist(), strings.column("payload")):
+            if b >= n_buckets:
+                continue
             own = grp.sent[still[places[b]]]
             place, owner = R.windows_of(a.first[own], a.last[own])
             hit = np.unpackbits(_unpickle(payload)["hit"], count=len(place)).astype(bool)
@@ -150,6 +185,17 @@ def dedup_bytes(docs: DataFrame, window: int = 50, k: int = 20, group_bytes: int
             if len(same):
                 for c in np.unique(owner[hit]):
                     starts[int(own[c])] = place[hit & (owner == c)] - a.first[own[c]]
+        place, owner, number, keys, low, bucket = hot_windows(grp, status)
+        if len(place):
+            low, at = low.copy(), dict(R.split(bucket))
+            for b, payload in zip(strings.column("bucket").to_pylist(), strings.column("payload")):
+                if b >= n_buckets:
+                    low[at[b]] = np.frombuffer(payload.as_py(), np.int64)
+            hit = low[number] < grp.ids[a.row[owner]]
+            gone.append((place[hit], place[hit] + window))
+            if len(same):
+                at = np.flatnonzero(hit)
+                starts |= {c: place[at[x]] - a.first[c] for c, x in R.split(owner[at])}
         for c in same.tolist():
             if (h := int(grp.head[c])) in starts:
                 place = starts[h] + a.first[c]

@@ -69,3 +69,22 @@ def test_levels_merge_geometrically():
         family.add(np.array([f"{i:02d}".encode()], "S2"), np.array([i]))
     assert len(family.levels) <= 7
     assert family.add(np.array([b"05"], "S2"), np.array([99])).tolist() == [5]
+
+
+@pytest.mark.parametrize("hot", [0, 5])
+def test_hot_minimisers_are_judged_alike(spark, hot):
+    rows = made(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bytes_of(df, **SMALL, batch=500, hot=hot) == brute.dedup_bytes(rows)
+
+
+def test_one_line_in_every_document(spark, monkeypatch):
+    from pyspark.sql.group import GroupedData
+
+    met = {}
+    real = GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, fn, schema: met.update({fn.__name__: self._df}) or real(self, fn, schema))
+    one = F.concat(F.sha2(F.concat(F.lit("a"), F.col("id")), 256), F.lit(" one common line of 30 bytes.. "), F.sha2(F.concat(F.lit("b"), F.col("id")), 256))
+    suffix_dedup.dedup_bytes(spark.range(90_000).select(F.col("id").alias("doc_id"), one.alias("text")))
+    most, total = met["judge_strings"].groupBy("bucket").agg(F.sum(F.length("payload")).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    assert total > 90_000 * 40 and most < total / 4  # no suffix array has what one minimiser holds
