@@ -42,17 +42,26 @@ def ambient_loglik(spark, sf):
 
 @query("empty_drops")
 def empty_drops(spark, sf):
-    return A.empty_drops(roles.barcodes(spark, sf), cut_lineage(q_ranks.barcode_table(spark, sf)), n_iters=200)
+    return A.empty_drops(roles.barcodes(spark, sf), cut_lineage(q_ranks.barcode_table(spark, sf)))
 
 
-@query("decontaminate")
-def decontaminate(spark, sf):
+def _decontaminated(spark, sf):
     """Cells = customers grouped by nation, background = counts of lines with open status."""
     cl = roles.clustered_cells(spark, sf)
     x = roles.cell_counts(spark, sf).join(cl, "cell_id").select(F.col("batch").alias("run_id"), F.col("cell_id").alias("barcode"), "cluster", "gene_id", "count", "splice")
     empties = x.where("splice = 'A'").groupBy("run_id", "gene_id").agg(F.sum("count").alias("count"))
     clusters = x.select("run_id", "barcode", "cluster").distinct()
-    return A.decontaminate(x.select("run_id", "barcode", "gene_id", "count"), clusters, empties, n_rounds=5)[1]
+    return A.decontaminate(x.select("run_id", "barcode", "gene_id", "count"), clusters, empties)
+
+
+@query("decontaminate")
+def decontaminate(spark, sf):
+    return _decontaminated(spark, sf)[1]
+
+
+@query("decontaminated_counts")
+def decontaminated_counts(spark, sf):
+    return _decontaminated(spark, sf)[0]
 
 
 @query("ambient_removed", USA + """ SELECT barcode, t0 AS total_pre, t1 AS total_post,

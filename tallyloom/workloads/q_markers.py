@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import signed_log10
 from tallyloom.operators import gsea as G
 from tallyloom.operators import markers as M
-from tallyloom.operators import ordered
+from tallyloom.operators import joins, ordered
 from tallyloom.operators import pseudobulk as P
 from tallyloom.session import cut_lineage
 from tallyloom.workloads import q_pseudobulk as QP
@@ -235,9 +235,12 @@ def gsea_es(spark, sf):
 
 @query("gsea")
 def gsea(spark, sf):
-    r, _ = _es(spark, sf)
-    out = G.gsea(cut_lineage(r), gene_sets(spark, sf), n_perm=200)
-    out = G.collapse_pathways(cut_lineage(out), 0.2)
+    """Sets = brands, and for each cluster its 20 highest symbols and, as a set inside it, the first 10 of them."""
+    r = cut_lineage(_es(spark, sf)[0])
+    top = [joins.first_per_group(r, "cluster", [F.col("stat").desc(), F.col("symbol").asc()], n).select(
+        F.concat(F.lit(f"top {n} of "), F.col("cluster").cast("string")).alias("pathway"), "symbol") for n in (20, 10)]
+    out = G.gsea(r, gene_sets(spark, sf).unionByName(top[0]).unionByName(top[1]))
+    out = G.collapse_pathways(cut_lineage(out))
     return out.withColumn("leading_edge", F.array_join("leading_edge", ","))
 
 

@@ -32,3 +32,28 @@ def test_entry(spark):
 
     rows = e.entry(spark).collect()
     assert len(rows) == 5 and {r["bad_batch"] for r in rows} <= {True, False}
+
+
+def test_gsea_marks_main_pathways(spark):
+    rows = QUERIES["gsea"](spark, SF).collect()
+    main = {r["pathway"] for r in rows if r["main_path"]}
+    assert main and min(r["pval"] for r in rows) < 1 / 201
+    assert any(r["padj"] < 0.05 and not r["main_path"] for r in rows)  # one set inside another
+
+
+def test_cleaned_counts_are_returned(spark):
+    clean, share = QUERIES["decontaminated_counts"](spark, SF), QUERIES["decontaminate"](spark, SF)
+    assert clean.select("run_id", "barcode").distinct().count() == share.count() > 0
+
+
+def test_queries_run_the_operators_defaults(spark, monkeypatch):
+    from tallyloom.operators import ambient, embed
+
+    given = {}
+    for module, name in ((ambient, "empty_drops"), (ambient, "decontaminate"), (embed, "batch_correct")):
+        def call(*args, _real=getattr(module, name), _name=name, **kw):
+            given[_name] = kw
+            return _real(*args, **kw)
+        monkeypatch.setattr(module, name, call)
+        QUERIES[name](spark, SF)
+    assert given == {"empty_drops": {}, "decontaminate": {}, "batch_correct": {}}
