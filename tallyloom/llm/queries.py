@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, debruijn, decontam, langid, minhash, packing, shards, sql, suffix_dedup, toxicity, urlrules
+from tallyloom.llm import ann, debruijn, decontam, hostrules, importance, langid, minhash, negatives, packing, shards, sql, suffix_dedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
-    "op3_prefix_sum_shards": sql.SHARDS, "op5_suffix_array_dedup": sql.SUFFIXES, "op7_debruijn_dedup": sql.WORD_WINDOWS, "op10_circulant_minhash": sql.NEAR_DUPLICATES}
+    "op3_prefix_sum_shards": sql.SHARDS, "op5_suffix_array_dedup": sql.SUFFIXES, "op7_debruijn_dedup": sql.WORD_WINDOWS, "op10_circulant_minhash": sql.NEAR_DUPLICATES,
+    "op11_head_tail_resampling": sql.RESAMPLED, "op12_strassen_negatives": sql.NEGATIVES, "op13_host_beta_rules": sql.HOST_RULES}
 
 
 def query(fn):
@@ -110,3 +111,20 @@ def op9_bigru_toxicity(spark, sf_dir):
 def op4_adaptive_dimension_ann(spark, sf_dir):
     vectors = read(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op11_head_tail_resampling(spark, sf_dir):
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=25, min_words=20, seed=7)
+
+
+@query
+def op12_strassen_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", label, "embedding")
+    return negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op13_host_beta_rules(spark, sf_dir):
+    return hostrules.judge(read(spark, sf_dir, "documents"))

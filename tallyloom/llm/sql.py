@@ -50,3 +50,54 @@ c AS (SELECT node, MIN(low) AS low FROM r GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.low, w.doc_id) AS component_id, coalesce(c.low, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.node = w.doc_id
 """
+
+_FEATURE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+RESAMPLED = f"""
+WITH c AS (SELECT list({_BIT} ORDER BY i) AS t FROM (SELECT unnest(generate_series(0::BIGINT, 255)) AS i)),
+d AS (SELECT 0 AS src, doc_id AS id, {_FEATURE_WORDS} AS w FROM documents UNION ALL SELECT 1, item_id, {_FEATURE_WORDS} FROM benchmark),
+f AS (SELECT src, id, unnest(w) AS g FROM d UNION ALL
+      SELECT src, id, w[i] || ' ' || w[i + 1] FROM (SELECT src, id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM d)),
+n AS (SELECT src, id, g, COUNT(*) AS n FROM f GROUP BY ALL),
+u AS (SELECT g, list_transform(regexp_extract_all(hex(encode(g)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM (SELECT DISTINCT g FROM n)),
+k AS (SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])), 4294967295) % 10000 AS bucket FROM u, c),
+b AS (SELECT bucket, CAST(SUM(CASE WHEN src = 0 THEN n ELSE 0 END) AS BIGINT) AS s, CAST(SUM(CASE WHEN src = 1 THEN n ELSE 0 END) AS BIGINT) AS t FROM n JOIN k USING (g) GROUP BY 1),
+a AS (SELECT CAST(SUM(s) AS BIGINT) AS sa, CAST(SUM(t) AS BIGINT) AS ta FROM b),
+v AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sa + 10000)::DOUBLE / ((s + 1)::DOUBLE * (ta + 10000)::DOUBLE))) AS BIGINT) AS gain FROM b, a),
+e AS (SELECT id, CAST(SUM(n) AS BIGINT) AS m, CAST(SUM(n * gain) AS BIGINT) AS z FROM n JOIN k USING (g) JOIN v USING (bucket) WHERE src = 0 GROUP BY 1),
+w AS (SELECT d.id AS doc_id, len(w) AS words, coalesce(m, 0) AS n_features, CASE WHEN m IS NULL THEN 0 ELSE (z - ((z % m) + m) % m) // m END AS weight,
+        CAST('0x' || substr(sha256('7:' || d.id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN e ON e.id = d.id WHERE src = 0),
+x AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM w),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, COUNT(*) OVER () AS n FROM x WHERE words >= 20)
+SELECT x.doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM x LEFT JOIN r ON r.doc_id = x.doc_id
+"""
+
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS s FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS n FROM s WHERE same) WHERE n <= 5),
+g AS (SELECT p.a, p.b, p.s, s.b AS nb, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS rank
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.s <= 100 * s.s AND 100 * s.s <= 90 * p.s)
+SELECT a AS anchor_id, b AS positive_id, CAST(rank AS INTEGER) AS rank, nb AS negative_id, s AS positive_score, ns AS negative_score FROM g WHERE rank <= 10
+"""
+
+_FAILS = {"base": "failed", "symbols": "10 * n_symbols > n_words", "dup_lines": "10 * n_dup_lines > 3 * n_lines", "word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words"}
+_PRIOR = ", ".join(f"SUM(f_{r}) OVER () / SUM(n) OVER () AS m_{r}, SUM(f_{r} * f_{r} / n) OVER () AS q_{r}" for r in _FAILS)
+_SPREAD = ", ".join(
+    f"CASE WHEN m_{r} * (1 - m_{r}) > 0 AND room > 0 THEN ((q_{r} - total * m_{r} * m_{r}) / (m_{r} * (1 - m_{r})) - (hosts - 1)) / room ELSE 0 END AS s_{r}" for r in _FAILS)
+_RATES = ", ".join(f"(f_{r} + m_{r} * (1 / least(1, greatest(1e-6, s_{r})) - 1)) / (n + 1 / least(1, greatest(1e-6, s_{r})) - 1)" for r in _FAILS)
+HOST_RULES = f"""
+WITH d AS (SELECT doc_id, lower(source) AS host, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+l AS (SELECT doc_id, COUNT(*) AS n, COUNT(*) - COUNT(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+g AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
+t AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, k) AS n FROM g) WHERE n > 1),
+r AS (SELECT doc_id, COUNT(*) AS n FROM (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 4)) AS i FROM t) GROUP BY 1),
+c AS (SELECT doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        coalesce(l.n, 0) AS n_lines, coalesce(l.dup, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS failed FROM c),
+h AS (SELECT host, COUNT(*)::DOUBLE AS n, {", ".join(f"SUM(CASE WHEN {v} THEN 1 ELSE 0 END)::DOUBLE AS f_{r}" for r, v in _FAILS.items())} FROM b WHERE host IS NOT NULL GROUP BY 1),
+p AS (SELECT *, SUM(n) OVER () AS total, COUNT(*) OVER () AS hosts, SUM(n) OVER () - SUM(n * n) OVER () / SUM(n) OVER () - (COUNT(*) OVER () - 1) AS room, {_PRIOR} FROM h),
+s AS (SELECT *, {_SPREAD} FROM p),
+x AS (SELECT host FROM s WHERE greatest({_RATES}) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND x.host IS NULL AS kept, b.host FROM b LEFT JOIN x ON x.host = b.host
+"""
