@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators import designs as D
 from tallyloom.operators import joins, ordered
+from tallyloom.session import cut_lineage
 
 # Smallest and largest set tested.
 MIN_SIZE, MAX_SIZE = 5, 500
@@ -64,85 +66,260 @@ def enrichment_scores(ranks: DataFrame, sets: DataFrame, cluster: str = "cluster
                       edge.alias("leading_edge"))
 
 
-def null_scores(ranks: DataFrame, sizes: DataFrame, n_perm: int = 1000, chunk: int = 50, seed: int = 42, cluster: str = "cluster") -> DataFrame:
-    """Sums over random sets of every size wanted per cluster: (cluster, size, n_pos, sum_pos, ...).
+def draw_sets(rng: np.random.Generator, many: int, n: int, size: int) -> np.ndarray:
+    """``many`` random sets of ``size`` of n positions, sorted, one per row."""
+    if 2 * size > n:
+        return np.sort(np.argsort(rng.random((many, n)), axis=1)[:, :size], axis=1)
+    out = np.sort(rng.integers(0, n, (many, size)), axis=1)
+    while True:
+        again = np.zeros(out.shape, bool)
+        again[:, 1:] = out[:, 1:] == out[:, :-1]
+        if not again.any():
+            return out
+        out[again] = rng.integers(0, n, int(again.sum()))
+        out.sort(axis=1)
 
-    Each task draws ``chunk`` random sets for one cluster and all sizes from the cluster's sorted
-    score vector (one number per gene of the annotation).
+
+def deviations(at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest rise above and fall below zero of the running sum of each row of positions ``at``; w: absolute scores by position."""
+    n, size = len(w), at.shape[1]
+    cw = np.cumsum(w[at], axis=1)
+    total = cw[:, -1:]
+    hit = np.where(total > 0, cw / np.where(total > 0, total, 1.0), np.arange(1, size + 1) / size)
+    miss = (at - np.arange(size)) / (n - size)
+    before = np.concatenate([np.zeros((len(at), 1)), hit[:, :-1]], axis=1)
+    return (hit - miss).max(1), (before - miss).min(1)
+
+
+def enrichment(at: np.ndarray, w: np.ndarray) -> np.ndarray:
+    high, low = deviations(at, w)
+    return np.where(high >= -low, high, low)
+
+
+def _vectors(ranks: DataFrame, cluster: str) -> DataFrame:
+    """Scores of each cluster from the highest to the lowest, one number per gene of the annotation."""
+    return ranks.groupBy(cluster).agg(F.reverse(F.array_sort(F.collect_list("stat"))).alias("stats"))
+
+
+DRAWS = 1 << 21  # numbers drawn at a time
+
+
+def null_scores(ranks: DataFrame, sizes: DataFrame, n_perm: int = 1000, chunk: int = 250, seed: int = 42, cluster: str = "cluster") -> DataFrame:
+    """Scores of random sets of every size wanted per cluster: (cluster, size, null_es).
+
+    Each task draws ``chunk`` random sets for one cluster and size from the cluster's sorted score vector.
     """
-    vec = ranks.groupBy(cluster).agg(F.reverse(F.array_sort(F.collect_list("stat"))).alias("stats"))
-    want = sizes.groupBy(cluster).agg(F.array_sort(F.collect_set("size")).alias("sizes"))
-    jobs = vec.join(want, cluster).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // chunk))))
-    jobs = jobs.repartition(F.col(cluster), F.col("part"))
+    want = sizes.select(cluster, F.col("size").cast("long").alias("size")).distinct()
+    jobs = want.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // chunk)))).repartition(F.col(cluster), F.col("size"), F.col("part"))
+    jobs = jobs.join(_vectors(ranks, cluster), cluster)
 
     def draw(batches):
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                w = np.abs(np.asarray(r.stats, float))
-                n = len(w)
-                rng = np.random.default_rng([seed, int(r.part)])
-                for size in map(int, r.sizes):
-                    if size >= n:
-                        continue
-                    es = np.empty(min(chunk, n_perm - int(r.part) * chunk))
-                    for b in range(len(es)):
-                        at = np.sort(rng.choice(n, size, replace=False))
-                        cw = np.cumsum(w[at])
-                        tot = cw[-1]
-                        hit = cw / tot if tot > 0 else np.arange(1, size + 1) / size
-                        miss = (at - np.arange(size)) / (n - size)
-                        hi, lo = (hit - miss).max(), (np.concatenate([[0.0], hit[:-1]]) - miss).min()
-                        es[b] = hi if hi >= -lo else lo
-                    out.append((getattr(r, cluster), size, es.tolist()))
+                w, size = np.abs(np.asarray(r.stats, float)), int(r.size)
+                if size >= len(w):
+                    continue
+                rng = np.random.default_rng([seed, int(r.part), size])
+                left, found = min(chunk, n_perm - int(r.part) * chunk), []
+                while left > 0:
+                    many = min(left, max(1, DRAWS // max(size, len(w) if 2 * size > len(w) else 1)))
+                    found.append(enrichment(draw_sets(rng, many, len(w), size), w))
+                    left -= many
+                out.append((r[0], size, np.concatenate(found).tolist()))
             yield pd.DataFrame(out, columns=[cluster, "size", "null_es"])
 
     kind = dict(ranks.dtypes)[cluster]
-    drawn = jobs.select(cluster, "stats", "sizes", "part").mapInPandas(draw, f"`{cluster}` {kind}, size long, null_es array<double>")
+    drawn = jobs.select(cluster, "size", "part", "stats").mapInPandas(draw, f"`{cluster}` {kind}, size long, null_es array<double>")
     return drawn.select(cluster, "size", F.explode("null_es").alias("null_es"))
 
 
+SAMPLE = 101  # sets in a level; odd, so that the median is one of them
+LEAST_P = 1e-50  # smaller p-values are reported as this
+
+
+def split_levels(w: np.ndarray, size: int, scores: np.ndarray, rng: np.random.Generator, sample: int = SAMPLE, sweeps: float = 2.0, least: float = LEAST_P) -> tuple[np.ndarray, np.ndarray]:
+    """P(score >= x and it is the set's larger deviation) for each x of ``scores`` (positive), and the levels that were needed.
+
+    A level keeps the sets whose highest deviation is over the median, copies them over the others, and moves each by
+    exchanging one gene at a time, as long as its deviation stays over that median. Half of the
+    sets go per level, so the product of the shares that stay is the probability of the last median.
+    """
+    n = len(w)
+    at = draw_sets(rng, sample, n, size)
+    inside = np.zeros((sample, n), bool)
+    row = np.arange(sample)
+    inside[row[:, None], at] = True
+    high, low = deviations(at, w)
+    p, level = np.zeros(len(scores)), np.zeros(len(scores), np.int64)
+    open_, reached, depth = np.ones(len(scores), bool), 1.0, 0
+    moves = max(50, int(np.ceil(sweeps * size)))
+    while True:
+        cut = np.median(high)
+        stay = high > cut
+        last = not stay.any() or reached < least
+        for i in np.flatnonzero(open_ & ((scores <= cut) | last)):
+            p[i], level[i], open_[i] = reached * ((high >= scores[i]) & (high >= -low)).mean(), depth, False
+        if last or not open_.any():
+            return p, level
+        reached *= stay.mean()
+        depth += 1
+        source = rng.choice(np.flatnonzero(stay), int((~stay).sum()))
+        for x in (at, inside, high, low):
+            x[~stay] = x[source]
+        for _ in range(moves):
+            gene, column = rng.integers(0, n, sample), rng.integers(0, size, sample)
+            new = at.copy()
+            new[row, column] = gene
+            new.sort(axis=1)
+            up, down = deviations(new, w)
+            take = np.flatnonzero(~inside[row, gene] & (up > cut))
+            inside[take, at[take, column[take]]] = False
+            inside[take, gene[take]] = True
+            at[take], high[take], low[take] = new[take], up[take], down[take]
+
+
+def multilevel_p(ranks: DataFrame, wanted: DataFrame, replicates: int = 4, seed: int = 42, cluster: str = "cluster") -> DataFrame:
+    """Tail probabilities of rare scores: (cluster, size, es, tail, levels), the mean of ``replicates`` independent runs.
+
+    ``wanted``: cluster, size, es. One task row per cluster, size, sign and replicate splits levels until it has passed
+    all scores of that kind. Negative scores are those of the reversed ranks.
+    """
+    keys = [cluster, "size", "up"]
+    jobs = wanted.select(cluster, F.col("size").cast("long").alias("size"), (F.col("es") >= 0).alias("up"), "es").distinct().groupBy(*keys).agg(F.collect_set("es").alias("scores"))
+    jobs = jobs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).repartition(*keys, "part").join(_vectors(ranks, cluster), cluster)
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                w, es = np.abs(np.asarray(r.stats, float)), np.asarray(r.scores, float)
+                rng = np.random.default_rng([seed, int(r.part), int(r.size), int(r.up)])
+                p, level = split_levels(w if r.up else w[::-1], int(r.size), np.abs(es), rng)
+                out += [(r[0], int(r.size), float(e), float(x), int(k)) for e, x, k in zip(es, p, level)]
+            yield pd.DataFrame(out, columns=[cluster, "size", "es", "tail", "levels"])
+
+    kind = dict(ranks.dtypes)[cluster]
+    got = jobs.select(cluster, "size", "up", "part", "scores", "stats").mapInPandas(run, f"`{cluster}` {kind}, size long, es double, tail double, levels long")
+    return got.groupBy(cluster, "size", "es").agg(F.avg("tail").alias("tail"), F.max("levels").alias("levels"))
+
+
+ENOUGH = 30  # plain draws as extreme as a score, from which their share is kept
+
+
 def gsea(ranks: DataFrame, sets: DataFrame, n_perm: int = 1000, cluster: str = "cluster", min_size: int = MIN_SIZE,
-         max_size: int = MAX_SIZE) -> DataFrame:
-    """Enrichment with permutation p-values, normalised scores and adjusted p-values per cluster."""
-    es = enrichment_scores(ranks, sets, cluster, min_size, max_size)
-    null = null_scores(ranks, es.select(cluster, "size"), n_perm, cluster=cluster)
-    # each score is compared with null scores of its own sign
+         max_size: int = MAX_SIZE, replicates: int = 4) -> DataFrame:
+    """Enrichment with p-values, normalised scores and adjusted p-values per cluster.
+
+    A score is compared with random sets of its size and sign. Where fewer than ENOUGH of ``n_perm`` plain draws are
+    as extreme, the tail comes from ``multilevel_p`` instead. ``log2err`` is the standard error of log2 of the p-value:
+    that of a share for plain draws, and that of the levels' beta-distributed shares otherwise.
+    """
+    es = cut_lineage(enrichment_scores(ranks, sets, cluster, min_size, max_size))
+    null = cut_lineage(null_scores(ranks, es.select(cluster, "size"), n_perm, cluster=cluster))
     side = null.groupBy(cluster, "size").agg(
         F.avg(F.when(F.col("null_es") >= 0, F.col("null_es"))).alias("_mp"), F.avg(F.when(F.col("null_es") < 0, -F.col("null_es"))).alias("_mn"),
         F.count_if(F.col("null_es") >= 0).alias("_np"), F.count_if(F.col("null_es") < 0).alias("_nn"))
     more = es.select(cluster, "pathway", "size", "es").join(null, [cluster, "size"]).groupBy(cluster, "pathway").agg(
-        F.count_if((F.col("es") >= 0) & (F.col("null_es") >= F.col("es"))).alias("_gp"),
-        F.count_if((F.col("es") < 0) & (F.col("null_es") <= F.col("es"))).alias("_gn"))
-    j = es.join(side, [cluster, "size"]).join(more, [cluster, "pathway"])
+        F.count_if(F.when(F.col("es") >= 0, F.col("null_es") >= F.col("es")).otherwise(F.col("null_es") <= F.col("es"))).alias("_more"))
     up = F.col("es") >= 0
-    p = F.when(up, (F.col("_gp") + 1.0) / (F.col("_np") + 1.0)).otherwise((F.col("_gn") + 1.0) / (F.col("_nn") + 1.0))
+    same = F.when(up, F.col("_np")).otherwise(F.col("_nn"))
     mean = F.when(up, F.col("_mp")).otherwise(F.col("_mn"))
-    out = j.withColumns({"pval": p, "nes": F.col("es") / F.when(mean > 0, mean)}).drop("_mp", "_mn", "_np", "_nn", "_gp", "_gn")
-    return ordered.bh_adjust(out, cluster, "pval", "padj", bounded=True)
+    j = cut_lineage(es.join(side, [cluster, "size"]).join(more, [cluster, "pathway"]).withColumns({"_same": same, "_mean": mean}).drop("_mp", "_mn", "_np", "_nn"))
+    tails = multilevel_p(ranks, j.where(F.col("_more") < ENOUGH).select(cluster, "size", "es"), replicates, cluster=cluster)
+    j = j.join(tails.withColumnRenamed("es", "_es"), [*[j[c] == tails[c] for c in (cluster, "size")], j["es"] == F.col("_es"), F.col("_more") < ENOUGH], "left").select(*[j[c] for c in j.columns], "tail", "levels")
+    plain = (F.col("_more") + 1.0) / (F.col("_same") + 1.0)
+    # the share of draws with the score's sign is what the tail is relative to
+    deep = F.least(F.lit(1.0), F.greatest(F.lit(LEAST_P), F.col("tail") * (n_perm + 1.0) / (F.col("_same") + 1.0)))
+    one = float(D.trigamma(np.array([(SAMPLE + 1) / 2.0]))[0] - D.trigamma(np.array([SAMPLE + 1.0]))[0])
+    rare = F.col("tail").isNotNull()
+    err = F.when(rare, F.sqrt((F.col("levels") + 1) * one / replicates)).otherwise(F.sqrt((1 - F.least(plain, F.lit(1.0))) / (F.col("_more") + 1.0))) / float(np.log(2))
+    out = j.withColumns({"pval": F.when(rare, deep).otherwise(plain), "log2err": err, "nes": F.col("es") / F.when(F.col("_mean") > 0, F.col("_mean"))})
+    return ordered.bh_adjust(out.drop("_same", "_mean", "_more", "tail", "levels"), cluster, "pval", "padj", bounded=True)
 
 
-def collapse_pathways(results: DataFrame, cut: float = 0.05, max_overlap: float = 0.5, cluster: str = "cluster") -> DataFrame:
-    """Mark main pathways: significant sets not largely contained in a better main one.
+def conditional_tests(results: DataFrame, ranks: DataFrame, sets: DataFrame, n_perm: int = 200, cluster: str = "cluster", seed: int = 42) -> DataFrame:
+    """For each set p and each other set q that shares genes with it: is q enriched without the genes of p, or among them?
 
-    Walks the significant sets of a cluster in order of p-value with their leading edges. A cluster
-    has at most as many rows as there are pathways in the collection.
+    ``results`` holds the sets to test (cluster, pathway, es). Outside, the genes of p leave the ranks; inside, only
+    they stay. Both tests take the sign of q's score, and random sets of the same number of genes from the same genes.
+    Columns: cluster, pathway (p), other (q), min_p, the smaller of the two p-values (1 if neither side can be tested).
     """
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["pval", "pathway"])
-        mains: list[set] = []
-        flag = []
-        for edge in pdf["leading_edge"]:
-            e = set(edge)
-            ok = all(len(e & m) <= max_overlap * min(len(e), len(m)) for m in mains)
-            flag.append(ok)
-            if ok:
-                mains.append(e)
-        return pd.DataFrame({cluster: pdf[cluster], "pathway": pdf["pathway"], "main_path": flag})
+    placed = ordered.positions(ranks, cluster, "stat", "symbol", "pos", descending=True, bounded=True).select(cluster, "symbol", F.col("pos").cast("int").alias("pos"))
+    hits = cut_lineage(sets.select("pathway", "symbol").distinct().join(results.select(cluster, "pathway"), "pathway").join(placed, [cluster, "symbol"]).select(cluster, "pathway", "pos"))
+    q = hits.select(cluster, F.col("pathway").alias("other"), "pos")
+    pairs = hits.join(q, [cluster, "pos"]).where("pathway <> other").select(cluster, "pathway", "other").distinct()
+    genes = hits.groupBy(cluster, "pathway").agg(F.array_sort(F.collect_list("pos")).alias("genes"))
+    score = results.select(cluster, F.col("pathway").alias("other"), (F.col("es") >= 0).alias("up"))
+    each = pairs.join(genes.withColumnsRenamed({"pathway": "other", "genes": "others"}), [cluster, "other"]).join(score, [cluster, "other"])
+    jobs = each.groupBy(cluster, "pathway").agg(F.array_sort(F.collect_list(F.struct("other", "others", "up"))).alias("tests"))
+    jobs = jobs.join(genes, [cluster, "pathway"]).join(_vectors(ranks, cluster), cluster)
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                w = np.abs(np.asarray(r.stats, float))
+                own = np.zeros(len(w), bool)
+                own[np.asarray(r.genes) - 1] = True
+                rng = np.random.default_rng([seed, len(r.genes), int(r.genes[0])])
+                least = {t["other"]: 1.0 for t in r.tests}
+                for part in (~own, own):
+                    there, place = w[part], np.cumsum(part) - 1
+                    known: dict[tuple, np.ndarray] = {}
+                    for t in r.tests:
+                        at = np.asarray(t["others"]) - 1
+                        at = place[at[part[at]]][None]
+                        size = at.shape[1]
+                        if not 1 <= size < len(there):
+                            continue
+                        up = bool(t["up"])
+                        if (size, up) not in known:
+                            null = deviations(draw_sets(rng, n_perm, len(there), size), there)
+                            known[size, up] = null[0] if up else -null[1]
+                        es = deviations(at, there)
+                        es = es[0][0] if up else -es[1][0]
+                        least[t["other"]] = min(least[t["other"]], (1 + np.count_nonzero(known[size, up] >= es)) / (n_perm + 1))
+                out += [(r[0], r.pathway, o, p) for o, p in least.items()]
+            yield pd.DataFrame(out, columns=[cluster, "pathway", "other", "min_p"])
 
     kind = dict(results.dtypes)[cluster]
-    sig = results.where(F.col("padj") < cut).select(cluster, "pathway", "pval", "leading_edge")
-    marks = sig.groupBy(cluster).applyInPandas(walk, f"`{cluster}` {kind}, pathway string, main_path boolean")
+    return jobs.select(cluster, "pathway", "genes", "tests", "stats").mapInPandas(run, f"`{cluster}` {kind}, pathway string, other string, min_p double")
+
+
+def main_sets(order: DataFrame, covers: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """Walk the sets of each cluster in their order ``n``; one that no set walked before it covers is walked, and takes in all it covers.
+
+    ``covers``: cluster, pathway, other (taken in by pathway). Returns cluster, pathway, main_path: walked, and not
+    taken in by a later one either. The walk is done in rounds over all clusters: a set is decided as soon as
+    all earlier ones that cover it are.
+    """
+    o = order.select(cluster, F.col("pathway").alias("other"), F.col("n").alias("m"))
+    links = cut_lineage(covers.join(order.select(cluster, "pathway", "n"), [cluster, "pathway"]).join(o, [cluster, "other"]))
+    early = links.where("n < m").select(cluster, "pathway", "other")
+    state = cut_lineage(order.select(cluster, "pathway", F.lit(None).cast("boolean").alias("walked")))
+    while True:
+        above = early.join(state, [cluster, "pathway"]).groupBy(cluster, F.col("other").alias("pathway")).agg(
+            F.max(F.coalesce("walked", F.lit(False))).alias("covered"), F.max(F.col("walked").isNull()).alias("waits"))
+        new = F.when(F.col("walked").isNotNull(), F.col("walked")).when(F.coalesce("covered", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True)
+        state = cut_lineage(state.join(above, [cluster, "pathway"], "left").select(cluster, "pathway", new.alias("walked")))
+        if state.where("walked IS NULL").limit(1).count() == 0:
+            break
+    late = links.where("n > m").join(state.where("walked"), [cluster, "pathway"], "left_semi").select(cluster, F.col("other").alias("pathway"), F.lit(True).alias("_late")).distinct()
+    return state.join(late, [cluster, "pathway"], "left").select(cluster, "pathway", (F.col("walked") & F.col("_late").isNull()).alias("main_path"))
+
+
+def collapse_pathways(results: DataFrame, ranks: DataFrame, sets: DataFrame, cut: float = 0.05, cluster: str = "cluster", n_perm: int | None = None) -> DataFrame:
+    """Mark main pathways (``main_path``) among those with padj below ``cut``.
+
+    A significant set is taken in by another one if it is enriched neither without that one's genes nor among
+    them (smaller p over ``cut``, from ``n_perm`` random sets, 10 / cut by default). Sets are walked in the order of their p-values. Sets
+    without a common gene don't take each other in.
+    """
+    sig = cut_lineage(results.where(F.col("padj") < cut).select(cluster, "pathway", "pval", "es"))
+    order = ordered.positions(sig, cluster, "pval", "pathway", "n", descending=False, bounded=True)
+    tests = conditional_tests(sig, ranks, sets, int(round(10 / cut)) if n_perm is None else n_perm, cluster)
+    marks = main_sets(order, tests.where(F.col("min_p") > cut), cluster)
     return results.join(marks, [cluster, "pathway"], "left").withColumn("main_path", F.coalesce("main_path", F.lit(False)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import entropy_term, resolution_of, zero_pad
-from tallyloom.operators import joins
+from tallyloom.operators import joins, ordered
 from tallyloom.operators.ordered import as_list
 
 
@@ -99,9 +99,8 @@ def cluster_entropy(cells: DataFrame, batch: str = "batch", cluster: str = "clus
 
 def relabel_by_size(cells: DataFrame, cluster: str) -> DataFrame:
     """Rename clusters cl01, cl02, ... in decreasing size; equal sizes keep the order of their old names."""
-    n = value_counts(cells, [cluster])
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), F.col(cluster).asc())
-    names = n.select(F.col(cluster).alias("_old"), F.concat(F.lit("cl"), zero_pad(F.row_number().over(w))).alias("_new"))
+    n = ordered.positions(value_counts(cells, [cluster]), None, "n", cluster, "_rank")
+    names = n.select(F.col(cluster).alias("_old"), F.concat(F.lit("cl"), zero_pad(F.col("_rank"))).alias("_new"))
     return cells.join(names, cells[cluster] == names["_old"], "left").withColumn(cluster, F.col("_new")).drop("_old", "_new")
 
 

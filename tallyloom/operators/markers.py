@@ -1,8 +1,7 @@
 """Marker genes: tests of one cluster (or group) against the rest, and tables built on them.
 
-Both tests are closed forms over sums of non-zero counts, so all clusters are tested by the same
-aggregates: the sums of "the others" are total minus own. The quasi-likelihood test is an
-analogue of the usual negative-binomial test with moment dispersions, not the same fit.
+The t test is a closed form over sums of non-zero counts, so all clusters are tested by the same
+aggregates: the sums of "the others" are total minus own. Fitted models are in ``nb`` and ``voom``.
 """
 
 from __future__ import annotations
@@ -13,16 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import signed_log10, significant, stars
-from tallyloom.functions.stats import t_above_change, t_two_sided
+from tallyloom.functions.stats import t_two_sided
 from tallyloom.operators import joins, ordered
 from tallyloom.operators import pseudobulk as P
+from tallyloom.operators.nb import nb_ql_test
+from tallyloom.operators.voom import voom_test
 from tallyloom.session import cut_lineage
 
-# Smallest fold change tested against (log2), degrees of freedom of the prior.
-MIN_FOLD = 0.2630344058337938  # log2(1.2)
-PRIOR_DF = 10.0
-
-
 def welch_test(means: DataFrame, samples: DataFrame, cluster: str = "cluster") -> DataFrame:
     """t test on mean log CPM of each cluster against all other samples.
 
@@ -59,64 +55,6 @@ def with_p_values(tests: DataFrame, cluster: str = "cluster") -> DataFrame:
     return ordered.bh_adjust(tests.withColumn("PValue", t_two_sided("t", "df")), cluster, "PValue", "FDR", bounded=True)
 
 
-def nb_statistics(pb: DataFrame, samples: DataFrame, group: str = "cluster", sample: Sequence[str] = ("cluster", "batch"),
-                  genes: DataFrame | None = None, prior_count: float = 0.5) -> DataFrame:
-    """Two-group log fold changes with a moderated quasi-dispersion, every group against the rest.
-
-    Per group and gene only sums of y, and y^2 / library over non-zero counts are needed; a zero
-    adds its library, which comes from ``samples`` (lib_size may be normalised). Variances are
-    mu * (1 + a * mu) with one common ``a``, times a gene-wise dispersion that is drawn to the mean
-    of genes of like expression.
-    """
-    keys = list(sample)
-    src = pb.select(*keys, "gene_id", F.col("count").cast("double").alias("y"))
-    if genes is not None:
-        src = src.join(genes.select("gene_id"), "gene_id", "left_semi")
-    lib = samples.select(*keys, F.col("lib_size").cast("double").alias("lib"))
-    size = lib.groupBy(group).agg(F.sum("lib").alias("L"), F.count(F.lit(1)).alias("k"))
-    allof = lib.agg(F.struct(F.sum("lib").alias("L"), F.count(F.lit(1)).alias("k")).alias("s")).scalar()
-    own = src.join(lib, keys).groupBy(group, "gene_id").agg(
-        F.sum("y").alias("y"), F.sum(F.col("y") * F.col("y") / F.col("lib")).alias("q"))
-    tot = own.groupBy("gene_id").agg(F.sum("y").alias("ty"), F.sum("q").alias("tq"))
-    j = own.join(tot, "gene_id").join(size, group).withColumn("_s", allof).where("_s.k > k")
-    yo, qo = F.col("ty") - F.col("y"), F.col("tq") - F.col("q")
-    lo, ko = F.col("_s.L") - F.col("L"), F.col("_s.k") - F.col("k")
-    # one row per group and gene from here on, read three times below
-    j = cut_lineage(j.withColumns({"yo": yo, "qo": qo, "lo": lo, "ko": ko}))
-    mean_lib = F.col("_s.L") / F.col("_s.k")
-    prior = prior_count / F.col("_s.k")
-    r1 = (F.col("y") + prior * F.col("k")) / F.col("L")
-    r2 = (F.col("yo") + prior * F.col("ko")) / F.col("lo")
-    # Pearson statistic of each side under its own rate: sum(y^2 / (lib r)) - sum(y)
-    x1 = F.col("q") / r1 - 2 * F.col("y") + r1 * F.col("L")
-    x2 = F.col("qo") / r2 - 2 * F.col("yo") + r2 * F.col("lo")
-    df = F.col("k") + F.col("ko") - 2
-    j = j.withColumns({"r1": r1, "r2": r2, "df": df, "mu": (F.col("ty") + prior_count) / F.col("_s.L") * mean_lib})
-    j = j.withColumn("phi", (x1 + x2) / F.when(F.col("df") > 0, F.col("df")))
-    a = j.agg(F.greatest(F.percentile((F.col("phi") - 1) / F.col("mu"), 0.5), F.lit(0.0)).alias("a")).scalar()
-    j = j.withColumn("a", a).withColumns({
-        "m1": 1 + F.col("a") * F.col("r1") * mean_lib, "m2": 1 + F.col("a") * F.col("r2") * mean_lib})
-    j = j.withColumns({
-        "s2": (x1 / F.col("m1") + x2 / F.col("m2")) / F.when(F.col("df") > 0, F.col("df")),
-        "logCPM": F.log2(F.col("mu") / mean_lib * P.MILLION + 1.0)}).withColumn("_bin", F.floor(F.col("logCPM")))
-    trend = j.groupBy(group, "_bin").agg(F.avg("s2").alias("s0"))
-    j = j.join(trend, [group, "_bin"])
-    post = (PRIOR_DF * F.col("s0") + F.col("df") * F.col("s2")) / (PRIOR_DF + F.col("df"))
-    var = post * (F.col("m1") / (F.col("r1") * F.col("L")) + F.col("m2") / (F.col("r2") * F.col("lo")))
-    ln2 = 0.6931471805599453
-    return j.select(
-        group, "gene_id", (F.ln(F.col("r1") / F.col("r2")) / ln2).alias("logFC"), "logCPM",
-        (F.sqrt(F.greatest(var, F.lit(1e-24))) / ln2).alias("se"), (F.col("df") + PRIOR_DF).alias("df_total"))
-
-
-def nb_ql_test(pb: DataFrame, samples: DataFrame, group: str = "cluster", sample: Sequence[str] = ("cluster", "batch"),
-               genes: DataFrame | None = None, min_fold: float = MIN_FOLD) -> DataFrame:
-    """logFC, logCPM, PValue against a minimum fold change, and FDR per group."""
-    st = nb_statistics(pb, samples, group, sample, genes)
-    p = st.withColumn("PValue", t_above_change("logFC", "se", F.col("df_total").cast("double"), F.lit(float(min_fold))))
-    return ordered.bh_adjust(p, group, "PValue", "FDR", bounded=True).drop("se", "df_total")
-
-
 def group_libraries(pb: DataFrame, sample: Sequence[str]) -> DataFrame:
     """Usable libraries of one group of samples (log-MAD outliers dropped), normalised."""
     keys = list(sample)
@@ -154,10 +92,10 @@ def by_signed_significance(df: DataFrame) -> DataFrame:
 
 
 def marker_genes(gene_sums: DataFrame, cells: DataFrame, genes: DataFrame, min_cl_size: int = 100, min_cells: int = 10,
-                 lib: str = "tmm", cluster: str = "cluster", batch: str = "batch") -> DataFrame:
+                 lib: str = "tmm", cluster: str = "cluster", batch: str = "batch", method: str = "edger") -> DataFrame:
     """Markers of every cluster: pseudobulk, log CPM, test against the rest, means and zero samples.
 
-    ``cells`` holds cell_id, cluster and batch of clean cells; tiny clusters are left out.
+    ``method`` is ``edger`` (negative-binomial quasi-likelihood) or ``voom`` (weighted linear model). ``cells`` holds cell_id, cluster and batch of clean cells; tiny clusters are left out.
     """
     keys = [cluster, batch]
     size = cells.groupBy(cluster).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_cl_size)
@@ -165,11 +103,13 @@ def marker_genes(gene_sums: DataFrame, cells: DataFrame, genes: DataFrame, min_c
     src = gene_sums.drop(*[k for k in keys if k in gene_sums.columns]).join(ids, "cell_id")
     n = P.n_cells_by(ids, keys)
     pb = P.pseudobulk(src, n, keys)
-    return markers_from_pseudobulk(pb, n, genes, min_cells, lib, cluster, batch)
+    return markers_from_pseudobulk(pb, n, genes, min_cells, lib, cluster, batch, method)
 
 
 def markers_from_pseudobulk(pb: DataFrame, n_cells: DataFrame, genes: DataFrame, min_cells: int = 10, lib: str = "tmm",
-                            cluster: str = "cluster", batch: str = "batch") -> DataFrame:
+                            cluster: str = "cluster", batch: str = "batch", method: str = "edger") -> DataFrame:
+    if method not in ("edger", "voom"):
+        raise ValueError("method must be edger or voom")
     keys = [cluster, batch]
     ok = cut_lineage(P.usable_samples(pb, n_cells, keys, min_cells))
     used = cut_lineage(pb.select(*keys, "gene_id", "count").join(ok.select(*keys), keys, "left_semi"))
@@ -178,7 +118,7 @@ def markers_from_pseudobulk(pb: DataFrame, n_cells: DataFrame, genes: DataFrame,
     if lib == "tmm":
         libs = cut_lineage(P.norm_factors(used, keys).select(*keys, F.col("norm_lib_size").alias("lib_size")))
     keep = P.filter_by_expression(used, libs, cluster, keys)
-    test = nb_ql_test(used, libs, cluster, keys, keep)
+    test = nb_ql_test(used, libs, cluster, keys, keep) if method == "edger" else voom_test(used, libs, cluster, keys, keep).drop("t")
     means = P.selected_vs_other(P.mean_log_cpm(lc, ok, cluster), ok, cluster)
     zeros = P.zero_counts(lc, ok, cluster)
     rows = genes.select("gene_id", "symbol", "gene_type")

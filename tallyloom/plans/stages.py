@@ -114,8 +114,8 @@ def find_markers(gene_sums: DataFrame, cells: DataFrame, genes: DataFrame, min_c
 
 def enrich(marker_table: DataFrame, sets: DataFrame, cut: float = 0.05, n_perm: int = 1000) -> DataFrame:
     """Gene-set enrichment per cluster with main pathways marked."""
-    out = gsea.gsea(cut_lineage(gsea.gsea_ranks(markers.filter_biotype(marker_table))), sets, n_perm)
-    return gsea.collapse_pathways(cut_lineage(out), cut)
+    ranks = cut_lineage(gsea.gsea_ranks(markers.filter_biotype(marker_table)))
+    return gsea.collapse_pathways(cut_lineage(gsea.gsea(ranks, sets, n_perm)), ranks, sets, cut)
 
 
 def label_cells(gene_sums: DataFrame, model: DataFrame, intercepts: DataFrame, clusters: DataFrame, min_prop: float = 0.5,

@@ -6,6 +6,7 @@ from tallyloom.workloads import q_hvg  # noqa: F401
 from tallyloom.workloads import q_ranks  # noqa: F401
 from tallyloom.workloads import q_pseudobulk  # noqa: F401
 from tallyloom.workloads import q_markers  # noqa: F401
+from tallyloom.workloads import q_models  # noqa: F401
 from tallyloom.workloads import q_labels  # noqa: F401
 from tallyloom.workloads import q_tags  # noqa: F401
 from tallyloom.workloads import q_ambient  # noqa: F401

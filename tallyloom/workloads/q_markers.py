@@ -239,8 +239,8 @@ def gsea(spark, sf):
     r = cut_lineage(_es(spark, sf)[0])
     top = [joins.first_per_group(r, "cluster", [F.col("stat").desc(), F.col("symbol").asc()], n).select(
         F.concat(F.lit(f"top {n} of "), F.col("cluster").cast("string")).alias("pathway"), "symbol") for n in (20, 10)]
-    out = G.gsea(r, gene_sets(spark, sf).unionByName(top[0]).unionByName(top[1]))
-    out = G.collapse_pathways(cut_lineage(out))
+    sets = cut_lineage(gene_sets(spark, sf).unionByName(top[0]).unionByName(top[1]))
+    out = G.collapse_pathways(cut_lineage(G.gsea(r, sets)), r, sets)
     return out.withColumn("leading_edge", F.array_join("leading_edge", ","))
 
 

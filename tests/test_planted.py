@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import stats as S
-from tallyloom.operators import ambient, checks, demux, embed, graph, gsea, hvg, joins, markers
+from tallyloom.operators import ambient, checks, demux, embed, graph, gsea, hvg, markers
 from tallyloom.operators import pseudobulk as P
 
 
@@ -35,7 +35,7 @@ def test_knn_with_regions_and_blocks_is_exact(spark):
 def test_graph_clusters_find_blobs(spark):
     e = blobs(spark)
     nn = embed.knn(e.select("cell_id", "embedding"), 8)
-    c = graph.graph_clusters(nn, [0.3], n_rounds=6).join(e, "cell_id").toPandas()
+    c = graph.graph_clusters(nn, [0.3]).join(e, "cell_id").toPandas()
     assert c.groupby("RNA_snn_res.0.3")["truth"].nunique().max() == 1
 
 
@@ -132,8 +132,6 @@ def test_tails():
 def test_filter_by_expression_and_complete(spark):
     pb = spark.createDataFrame([("a", "s1", 1, 10.0), ("b", "s1", 2, 5.0)], "cluster string, batch string, gene_id long, count double")
     assert P.complete_pseudobulk(pb).count() == 4
-    with pytest.raises(Exception, match="more than 1 values"):
-        joins.complete(pb, ["gene_id"], ["cluster", "batch"], {"count": 0.0}, limit=1).collect()
 
 
 def test_gate(spark):
