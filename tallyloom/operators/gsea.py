@@ -138,7 +138,7 @@ SAMPLE = 101  # sets in a level; odd, so that the median is one of them
 LEAST_P = 1e-50  # smaller p-values are reported as this
 
 
-def split_levels(w: np.ndarray, size: int, scores: np.ndarray, rng: np.random.Generator, sample: int = SAMPLE, sweeps: float = 2.0, least: float = LEAST_P) -> tuple[np.ndarray, np.ndarray]:
+def split_levels(w: np.ndarray, size: int, scores: np.ndarray, rng: np.random.Generator, sample: int = SAMPLE, sweeps: float = 1.0, least: float = LEAST_P) -> tuple[np.ndarray, np.ndarray]:
     """P(score >= x and it is the set's larger deviation) for each x of ``scores`` (positive), and the levels that were needed.
 
     A level keeps the sets whose highest deviation is over the median, copies them over the others, and moves each by
@@ -204,7 +204,7 @@ def multilevel_p(ranks: DataFrame, wanted: DataFrame, replicates: int = 4, seed:
     return got.groupBy(cluster, "size", "es").agg(F.avg("tail").alias("tail"), F.max("levels").alias("levels"))
 
 
-ENOUGH = 30  # plain draws as extreme as a score, from which their share is kept
+ENOUGH = 10  # plain draws as extreme as a score, from which their share is kept
 
 
 def gsea(ranks: DataFrame, sets: DataFrame, n_perm: int = 1000, cluster: str = "cluster", min_size: int = MIN_SIZE,
