@@ -183,7 +183,7 @@ def frequent(texts: DataFrame, n_buckets: int = N_BUCKETS) -> Head:
     """Head tables of the words of up to 16 bytes and their pairs that all texts hold most often.
 
     Each slice of text names those it holds ``SEEN`` times; counts are summed by Spark and only the
-    HEAD_WORDS and HEAD_PAIRS largest reach the driver.
+    largest, at most HEAD_WORDS and HEAD_PAIRS, reach the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +209,17 @@ def frequent(texts: DataFrame, n_buckets: int = N_BUCKETS) -> Head:
     total = texts.select("text").mapInArrow(count, "a long, b long, c long, d long, n long").groupBy("a", "b", "c", "d").agg(F.sum("n").alias("n"))
 
     def most(rows: DataFrame, limit: int) -> np.ndarray:
-        got = rows.orderBy(F.desc("n"), "a", "b", "c", "d").limit(limit).drop("n").toPandas()
+        # counts by steps of a quarter of a power of two; only rows of the steps that fit reach the driver
+        step = F.floor(4 * F.log2("n")).cast("int")
+        fits, least = 0, None
+        for r in sorted(rows.groupBy(step.alias("s")).count().collect(), key=lambda r: -r["s"]):
+            fits += r["count"]
+            if fits > limit:
+                break
+            least = r["s"]
+        if least is None:
+            return np.zeros((0, 4), U64)
+        got = rows.where(step >= least).toPandas().sort_values(["n", "a", "b", "c", "d"], ascending=[False, True, True, True, True]).drop(columns="n")
         return np.ascontiguousarray(got.to_numpy(np.int64)).view(U64).reshape(-1, 4)
 
     total = cut_lineage(total)

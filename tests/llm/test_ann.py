@@ -25,9 +25,15 @@ def results(df):
     return out
 
 
-@pytest.mark.parametrize("table", ["sf0.1", "check_h"])
-def test_recall(spark, table):
+@pytest.mark.parametrize("table", ["sf0.1", "hot"])
+def test_recall(spark, table, tmp_path):
     sf = f"/root/testdata/{table}"
+    if table == "hot":  # one vector and its near copies hold a third of the rows
+        sf = str(tmp_path)
+        rng = np.random.default_rng(7)
+        hot = rng.normal(size=64)
+        x = [hot + (i % 7) * 1e-3 * rng.normal(size=64) if i % 3 == 0 else rng.normal(size=64) for i in range(6000)]
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(f"{sf}/embeddings.parquet")
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
     ids, x = [r["vec_id"] for r in rows], np.array([r["embedding"] for r in rows], float)
     want = brute(ids, x, [i for i in ids if i % 100 == 0])
