@@ -23,8 +23,17 @@ def called(spark, sf):
 
 @query("ambient_profile", q_ranks.PARAMS + f""", ob AS (SELECT o_orderpriority AS run_id, l_orderkey AS barcode, l_partkey AS gene_id, l_quantity AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
   e AS (SELECT ob.run_id, gene_id, SUM(q) AS c FROM ob JOIN flagged USING (barcode) WHERE in_empty_plateau GROUP BY 1, 2),
-  w AS (SELECT a.run_id, a.gene_id, coalesce(c, 0) + 0.5 AS w FROM (SELECT DISTINCT run_id, gene_id FROM ob) a LEFT JOIN e USING (run_id, gene_id))
-  SELECT run_id, gene_id, round(w / SUM(w) OVER (PARTITION BY run_id), 9) + 0.0 AS p FROM w""")
+  w AS (SELECT a.run_id, a.gene_id, coalesce(c, 0) AS r FROM (SELECT DISTINCT run_id, gene_id FROM ob) a LEFT JOIN e USING (run_id, gene_id)),
+  f AS (SELECT run_id, r, CAST(COUNT(*) AS DOUBLE) AS nr FROM w GROUP BY 1, 2),
+  z AS (SELECT *, row_number() OVER u AS place, lag(r, 1, 0) OVER u AS q, lead(r) OVER u AS t, CASE WHEN lead(r) OVER u = r + 1 THEN lead(nr) OVER u END AS nx
+    FROM f WHERE r > 0 WINDOW u AS (PARTITION BY run_id ORDER BY r)),
+  fit AS (SELECT run_id, CASE WHEN COUNT(*) > 1 THEN regr_slope(ln(nr / (0.5 * (coalesce(t, 2 * r - q) - q))), ln(r)) ELSE -1 END AS b, SUM(r * nr) AS n, SUM(CASE WHEN r = 1 THEN nr ELSE 0 END) AS n1 FROM z GROUP BY 1),
+  y AS (SELECT z.*, r * pow(1 + 1 / r, 1 + b) AS line, (r + 1) * nx / nr AS turing, 1.96 * sqrt((r + 1) * (r + 1) * nx / (nr * nr) * (1 + nx / nr)) AS sd FROM z JOIN fit USING (run_id)),
+  s AS (SELECT *, CASE WHEN MIN(CASE WHEN abs(turing - line) > sd AND place = r THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY r) = 1 THEN turing ELSE line END AS s FROM y),
+  p0 AS (SELECT run_id, n0, CASE WHEN n0 IS NULL THEN 0 WHEN n IS NULL THEN 1 WHEN n1 = n THEN n / (n + 1) ELSE greatest(n1, 0.5) / n END AS p0
+    FROM (SELECT DISTINCT run_id FROM w) LEFT JOIN fit USING (run_id) LEFT JOIN (SELECT run_id, nr AS n0 FROM f WHERE r = 0) USING (run_id))
+  SELECT w.run_id, gene_id, round(CASE WHEN w.r = 0 THEN p0 / n0 ELSE (1 - p0) * s / tot END, 9) + 0.0 AS p
+  FROM w JOIN p0 USING (run_id) LEFT JOIN (SELECT run_id, r, s, SUM(nr * s) OVER (PARTITION BY run_id) AS tot FROM s) k ON k.run_id = w.run_id AND k.r = w.r""")
 def ambient_profile(spark, sf):
     return rounded(A.ambient_profile(roles.barcodes(spark, sf), q_ranks.barcode_table(spark, sf)), 9)
 
