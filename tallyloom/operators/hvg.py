@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators import counts as C
@@ -14,6 +13,7 @@ from tallyloom.operators import ordered
 from tallyloom.operators.ordered import as_list
 from tallyloom.session import cut_lineage
 
+FLAT = 1e-10  # determinants of the normal equations up to this count as zero
 
 def quantiles_with_zeros(gene_sums: DataFrame, n_cells: DataFrame, probs: Mapping[str, float], by="batch") -> DataFrame:
     """Quantiles of counts per gene over all cells of the group; zeros only shift the order statistics."""
@@ -36,38 +36,84 @@ def quantiles_with_zeros(gene_sums: DataFrame, n_cells: DataFrame, probs: Mappin
     return wide.select(*keys, *out)
 
 
-def _local_quadratic(x: np.ndarray, y: np.ndarray, span: float, knots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tricube-weighted quadratic fits at up to ``knots`` positions: places, values, slopes."""
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
-    n = len(x)
-    q = min(n, max(3, int(np.ceil(span * n))))
-    at = np.unique(np.quantile(x, np.linspace(0, 1, min(knots, n))))
-    val, slope = np.empty(len(at)), np.empty(len(at))
-    start = 0
-    for i, x0 in enumerate(at):
-        while start + q < n and x[start + q] - x0 < x0 - x[start]:
-            start += 1
-        xs, ys = x[start:start + q] - x0, y[start:start + q]
-        reach = np.abs(xs).max()
-        if reach == 0:
-            val[i], slope[i] = ys.mean(), 0.0
-            continue
-        w = np.sqrt(np.clip(1 - (np.abs(xs) / (reach * 1.0000001)) ** 3, 0, None) ** 3)
-        design = np.column_stack([np.ones_like(xs), xs, xs * xs])
-        beta = np.linalg.lstsq(design * w[:, None], ys * w, rcond=1e-12)[0]
-        val[i], slope[i] = beta[0], beta[1]
-    return at, val, slope
-
-
-def _hermite(at, val, slope, x) -> np.ndarray:
-    if len(at) == 1:
-        return np.full(len(x), val[0])
-    i = np.clip(np.searchsorted(at, x, side="right") - 1, 0, len(at) - 2)
-    h = at[i + 1] - at[i]
-    t = (x - at[i]) / h
-    return ((1 + 2 * t) * (1 - t) ** 2 * val[i] + t * (1 - t) ** 2 * h * slope[i]
-            + t * t * (3 - 2 * t) * val[i + 1] + t * t * (t - 1) * h * slope[i + 1])
+def _tree_cuts(n: Column, leaf: Column, share: float) -> Column:
+    """Ranks behind which cells of more than ``leaf`` of n sorted points are halved, again and again."""
+    cells = F.array(F.struct(F.lit(1).cast("long").alias("l"), n.alias("u")))
+    for _ in range(math.ceil(math.log2(2 / share)) + 1):
+        cells = F.flatten(F.transform(cells, lambda c: F.when(
+            c["u"] - c["l"] + 1 > leaf,
+            F.array(F.struct(c["l"].alias("l"), F.floor((c["l"] + c["u"]) / 2).alias("u")),
+                    F.struct((F.floor((c["l"] + c["u"]) / 2) + 1).alias("l"), c["u"].alias("u"))),
+        ).otherwise(F.array(c))))
+    return F.transform(cells, lambda c: c["u"])
+
+
+def _vertex_fit(keys: list[str], points: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Tricube-weighted quadratic fit at each vertex: value and slope.
+
+    ``vertices`` holds one row per group with ``_q`` and an array of places, so that a group of any size is
+    spread over the tasks that hold its points. The distance to the q-th nearest point is the least of the
+    larger end distances of all runs of q neighbouring points.
+    """
+    a, b = points.select(*keys, "_pos", F.col("_x").alias("_a")), points.select(*keys, "_pos", F.col("_x").alias("_b"))
+    ends = (a.join(vertices.select(*keys, "_q"), keys).withColumn("_pos", F.col("_pos") + F.col("_q") - 1)
+            .join(b, [*keys, "_pos"]).join(vertices.select(*keys, F.explode("_v").alias("_at")), keys))
+    reach = ends.groupBy(*keys, "_at").agg(F.min(F.greatest(F.abs(F.col("_a") - F.col("_at")), F.abs(F.col("_b") - F.col("_at")))).alias("_h"))
+    reach = reach.groupBy(*keys).agg(F.collect_list(F.struct("_at", (F.col("_h") * 1.0000001).alias("_h"))).alias("_v"))
+    d = F.abs(F.col("_x") - F.col("_at"))
+    near = points.join(reach, keys).select(*keys, "_x", "_y", F.inline("_v")).where(d <= F.col("_h"))
+    u = F.when(F.col("_h") > 0, (F.col("_x") - F.col("_at")) / F.col("_h")).otherwise(0.0)
+    near = near.withColumns({"_u": u, "_w": F.pow(1 - F.pow(F.abs(u), 3), 3)})
+    m = {f"m{k}": F.sum(F.col("_w") * F.pow("_u", F.lit(k))) / F.sum("_w") for k in range(1, 5)}
+    m |= {f"y{k}": F.sum(F.col("_w") * F.pow("_u", F.lit(k)) * F.col("_y")) / F.sum("_w") for k in range(3)}
+    sums = near.groupBy(*keys, "_at", "_h").agg(*[e.alias(k) for k, e in m.items()])
+    # normal equations; a straight line or the mean where the points lie at two places or one
+    sums = sums.withColumns({
+        "_d2": F.expr("m2 - m1 * m1"),
+        "_d3": F.expr("(m2 * m4 - m3 * m3) - m1 * (m1 * m4 - m2 * m3) + m2 * (m1 * m3 - m2 * m2)"),
+    })
+    value = F.expr(f"""CASE WHEN _d3 > {FLAT} THEN (y0 * (m2 * m4 - m3 * m3) - m1 * (y1 * m4 - m3 * y2) + m2 * (y1 * m3 - m2 * y2)) / _d3
+        WHEN _d2 > {FLAT} THEN (y0 * m2 - m1 * y1) / _d2 ELSE y0 END""")
+    slope = F.expr(f"""CASE WHEN _d3 > {FLAT} THEN ((y1 * m4 - m3 * y2) - y0 * (m1 * m4 - m2 * m3) + m2 * (m1 * y2 - m2 * y1)) / _d3 / _h
+        WHEN _d2 > {FLAT} THEN (y1 - m1 * y0) / _d2 / _h ELSE 0 END""")
+    return sums.select(*keys, F.col("_at"), value.alias("_val"), slope.alias("_slope"))
+
+
+def local_regression(points: DataFrame, by="batch", span: float = 0.3, cell: float = 0.2, margin: float = 0.005) -> DataFrame:
+    """Local quadratic regression of ``_y`` on ``_x``: one row per group with ``_curve``, an array of (_at, _val, _slope).
+
+    A one-dimensional k-d tree: cells with more than span * cell of the group's points are halved at their
+    median. Fits at the borders of the cells use the nearest ``span`` of all points of the group; cubics that
+    keep values and slopes blend them in between. The number of borders depends on span and cell alone, and points are
+    ranked by written ranges, so all points of a group are many tasks' work.
+    """
+    keys = as_list(by)
+    placed = cut_lineage(ordered.positions(points.select(*keys, "_x", "_y"), keys, "_x", "_y", "_pos", descending=False))
+    n = F.count(F.lit(1))
+    lo, hi = F.min("_x"), F.max("_x")
+    edge = margin * F.greatest(hi - lo, F.greatest(F.abs(lo), F.abs(hi)) * 1e-3 + 1e-30)
+    box = placed.groupBy(*keys).agg(
+        n.alias("_n"), F.greatest(F.lit(1), F.floor(n * span * cell)).cast("long").alias("_leaf"),
+        F.least(n, F.greatest(F.lit(3), F.floor(n * span + 1e-5))).cast("long").alias("_q"),
+        (lo - edge).alias("_lo"), (hi + edge).alias("_hi"))
+    cuts = box.select(*keys, "_n", F.explode(_tree_cuts(F.col("_n"), F.col("_leaf"), span * cell)).alias("_cut")).where("_cut < _n")
+    sides = cuts.select(*keys, "_cut", F.explode(F.array("_cut", F.col("_cut") + 1)).alias("_pos"))
+    inner = sides.join(placed, [*keys, "_pos"]).groupBy(*keys, "_cut").agg((F.sum("_x") / 2).alias("_at"))
+    inner = inner.groupBy(*keys).agg(F.collect_set("_at").alias("_inner"))  # at most some dozens a group
+    vertices = cut_lineage(box.join(inner, keys, "left").select(
+        *keys, "_q", F.array_distinct(F.concat(F.array("_lo", "_hi"), F.coalesce("_inner", F.array().cast("array<double>")))).alias("_v")))
+    fits = _vertex_fit(keys, placed, vertices)
+    return fits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_at", "_val", "_slope"))).alias("_curve"))
+
+
+def _on_curve(curve: Column, x: Column) -> Column:
+    """Cubic between the two places around x."""
+    i = F.greatest(F.lit(1), F.least(F.size(curve) - 1, F.size(F.filter(curve, lambda c: c["_at"] <= x))))
+    a, b = F.element_at(curve, i), F.element_at(curve, i + 1)
+    h = b["_at"] - a["_at"]
+    t = (x - a["_at"]) / h
+    return ((1 + 2 * t) * (1 - t) * (1 - t) * a["_val"] + t * (1 - t) * (1 - t) * h * a["_slope"]
+            + t * t * (3 - 2 * t) * b["_val"] + t * t * (t - 1) * h * b["_slope"])
 
 
 def _with_trend(df: DataFrame) -> DataFrame:
@@ -76,10 +122,10 @@ def _with_trend(df: DataFrame) -> DataFrame:
         "clip_val", F.col("reg_std") * F.sqrt(F.col("n_cells").cast("double")) + F.col("mean"))
 
 
-def variance_trend(gene_var: DataFrame, by="batch", span: float = 0.3, trend: str = "loess", knots: int = 500) -> DataFrame:
+def variance_trend(gene_var: DataFrame, by="batch", span: float = 0.3, trend: str = "loess") -> DataFrame:
     """Expected variance per gene: local regression of log10 variance on log10 mean, per group.
 
-    A group holds one row per gene of the annotation, which bounds what one task sees.
+    Equal points count once. Genes without mean or variance get 0.
     ``trend='linear'`` fits a straight line with plain aggregates instead.
     """
     keys = as_list(by)
@@ -87,24 +133,14 @@ def variance_trend(gene_var: DataFrame, by="batch", span: float = 0.3, trend: st
         "_x": F.log10(F.when(F.col("variance") > 0, F.when(F.col("mean") > 0, F.col("mean")))),
         "_y": F.log10(F.when(F.col("variance") > 0, F.col("variance"))),
     })
+    points = src.where("_x IS NOT NULL AND _y IS NOT NULL").select(*keys, "_x", "_y").distinct()
     if trend == "linear":
-        # equal points count once, as in the local fit
-        points = src.where("_x IS NOT NULL AND _y IS NOT NULL").select(*keys, "_x", "_y").distinct()
         line = points.groupBy(*keys).agg(F.regr_slope("_y", "_x").alias("_b"), F.regr_intercept("_y", "_x").alias("_a"))
         est = F.coalesce(F.col("_a") + F.col("_b") * F.col("_x"), F.lit(0.0))
         return _with_trend(src.join(line, keys).withColumn("estimated_variance", est)).drop("_x", "_y", "_a", "_b")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        ok = (pdf["_x"].notna() & pdf["_y"].notna()).to_numpy()
-        est = np.zeros(len(pdf))
-        if ok.any():
-            pts = pdf.loc[ok, ["_x", "_y"]].drop_duplicates()
-            at, val, slope = _local_quadratic(pts["_x"].to_numpy(), pts["_y"].to_numpy(), span, knots)
-            est[ok] = _hermite(at, val, slope, pdf.loc[ok, "_x"].to_numpy())
-        return pdf.drop(columns=["_x", "_y"]).assign(estimated_variance=est)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gene_var.schema.fields) + ", estimated_variance double"
-    return _with_trend(src.groupBy(*keys).applyInPandas(fit, schema))
+    src = src.join(local_regression(points, keys, span), keys, "left")
+    est = F.when(F.col("_x").isNotNull(), _on_curve(F.col("_curve"), F.col("_x"))).otherwise(0.0)
+    return _with_trend(src.withColumn("estimated_variance", est).drop("_x", "_y", "_curve"))
 
 
 def standardised_variance(gene_var: DataFrame, clipped: DataFrame, by="batch") -> DataFrame:

@@ -17,6 +17,35 @@ tr2 AS (SELECT *, sqrt(pow(10, ev)) AS reg_std, sqrt(pow(10, ev)) * sqrt(n_cells
 cl AS (SELECT batch, gene_id, SUM(least(n, clip_val)) AS cs, SUM(least(n, clip_val) * least(n, clip_val)) AS css FROM g JOIN tr2 USING (batch, gene_id) GROUP BY 1, 2),
 sv AS (SELECT tr2.*, cs, css, (n_cells * mean * mean + css - 2 * cs * mean) / ((n_cells - 1) * reg_std * reg_std) AS vn FROM tr2 JOIN cl USING (batch, gene_id))"""
 
+# the same k-d tree, fits at its borders by sorting all distances, cubics in between
+LOESS = LIN[:LIN.index("ln AS")].replace("WITH x", "WITH RECURSIVE x", 1) + """ps AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY lx, ly) AS pos FROM pt),
+bx AS (SELECT batch, COUNT(*) AS n, greatest(1, CAST(floor(COUNT(*) * 0.06) AS BIGINT)) AS leaf, least(COUNT(*), greatest(3, CAST(floor(COUNT(*) * 0.3 + 1e-5) AS BIGINT))) AS q,
+  min(lx) AS lo, max(lx) AS hi, 0.005 * greatest(max(lx) - min(lx), greatest(abs(min(lx)), abs(max(lx))) * 1e-3 + 1e-30) AS edge FROM ps GROUP BY 1),
+ce AS (SELECT batch, leaf, CAST(1 AS BIGINT) AS l, CAST(n AS BIGINT) AS u FROM bx UNION ALL
+  SELECT batch, leaf, CASE WHEN side = 0 THEN l ELSE (l + u) // 2 + 1 END, CASE WHEN side = 0 THEN (l + u) // 2 ELSE u END
+  FROM ce, (VALUES (0), (1)) s(side) WHERE u - l + 1 > leaf),
+vx AS (SELECT ce.batch, (a.lx + b.lx) / 2 AS v FROM ce JOIN ps a ON a.batch = ce.batch AND a.pos = (l + u) // 2 JOIN ps b ON b.batch = ce.batch AND b.pos = (l + u) // 2 + 1 WHERE u - l + 1 > leaf
+  UNION SELECT batch, lo - edge FROM bx UNION SELECT batch, hi + edge FROM bx),
+ds AS (SELECT batch, v, lx, ly, q, abs(lx - v) AS d, row_number() OVER (PARTITION BY batch, v ORDER BY abs(lx - v)) AS k FROM vx JOIN ps USING (batch) JOIN bx USING (batch)),
+hh AS (SELECT batch, v, max(d) * 1.0000001 AS h FROM ds WHERE k <= q GROUP BY 1, 2),
+wt AS (SELECT batch, v, h, ly, (lx - v) / h AS t, pow(1 - pow(abs((lx - v) / h), 3), 3) AS w FROM ds JOIN hh USING (batch, v) WHERE d <= h),
+mo AS (SELECT batch, v, h, SUM(w * t) / SUM(w) AS m1, SUM(w * t * t) / SUM(w) AS m2, SUM(w * t * t * t) / SUM(w) AS m3, SUM(w * t * t * t * t) / SUM(w) AS m4,
+  SUM(w * ly) / SUM(w) AS y0, SUM(w * t * ly) / SUM(w) AS y1, SUM(w * t * t * ly) / SUM(w) AS y2 FROM wt GROUP BY 1, 2, 3),
+dt AS (SELECT *, m2 - m1 * m1 AS d2, (m2 * m4 - m3 * m3) - m1 * (m1 * m4 - m2 * m3) + m2 * (m1 * m3 - m2 * m2) AS d3 FROM mo),
+ft AS (SELECT batch, v, CASE WHEN d3 > 1e-10 THEN (y0 * (m2 * m4 - m3 * m3) - m1 * (y1 * m4 - m3 * y2) + m2 * (y1 * m3 - m2 * y2)) / d3 WHEN d2 > 1e-10 THEN (y0 * m2 - m1 * y1) / d2 ELSE y0 END AS f,
+  CASE WHEN d3 > 1e-10 THEN ((y1 * m4 - m3 * y2) - y0 * (m1 * m4 - m2 * m3) + m2 * (m1 * y2 - m2 * y1)) / d3 / h WHEN d2 > 1e-10 THEN (y1 - m1 * y0) / d2 / h ELSE 0 END AS g FROM dt),
+sg AS (SELECT batch, v AS va, f AS fa, g AS ga, lead(v) OVER w AS vb, lead(f) OVER w AS fb, lead(g) OVER w AS gb FROM ft WINDOW w AS (PARTITION BY batch ORDER BY v)),
+cv AS (SELECT ps.batch, lx, ly, vb - va AS h, (lx - va) / (vb - va) AS t, fa, ga, fb, gb FROM ps JOIN sg ON ps.batch = sg.batch AND lx >= va AND lx < vb),
+pe AS (SELECT DISTINCT batch, lx, (1 + 2 * t) * (1 - t) * (1 - t) * fa + t * (1 - t) * (1 - t) * h * ga + t * t * (3 - 2 * t) * fb + t * t * (t - 1) * h * gb AS e FROM cv),
+tr AS (SELECT mv.*, CASE WHEN variance > 0 THEN e ELSE 0 END AS ev FROM mv LEFT JOIN pe ON mv.batch = pe.batch AND variance > 0 AND log10(mean) = lx),
+""" + LIN[LIN.index("tr2 AS"):]
+TREND_COLS = f"batch, gene_id, n_cells, {rnd('mean')} AS mean, {rnd('variance')} AS variance, {rnd('ev')} AS estimated_variance, {rnd('reg_std')} AS reg_std, {rnd('clip_val')} AS clip_val"
+LOESS_RANK = LOESS + """, vr AS (SELECT batch, gene_id, round(vn, 9) AS vn FROM sv),
+rk AS (SELECT *, rank() OVER (PARTITION BY batch ORDER BY vn DESC NULLS LAST) + (COUNT(*) OVER (PARTITION BY batch, vn) - 1) / 2.0 AS r FROM vr),
+ag AS (SELECT gene_id, CAST(COUNT(CASE WHEN r <= 200 THEN 1 END) AS BIGINT) AS nb, median(r) AS mr, avg(vn) AS mv FROM rk GROUP BY 1),
+hv AS (SELECT gene_id, nb AS highly_variable_nbatches, CAST(mr AS DOUBLE) AS highly_variable_rank, mv AS variances_norm,
+  row_number() OVER (ORDER BY nb DESC, mr ASC NULLS LAST, gene_id) <= 200 AS highly_variable FROM ag)"""
+
 RANK = LIN + """, ex AS (SELECT p_partkey AS gene_id FROM part WHERE p_name LIKE 'red %'),
 vr AS (SELECT batch, gene_id, round(vn, 9) AS vn, CASE WHEN gene_id NOT IN (SELECT gene_id FROM ex) THEN round(vn, 9) END AS v FROM sv),
 rk AS (SELECT *, CASE WHEN v IS NOT NULL THEN rank() OVER (PARTITION BY batch ORDER BY v DESC NULLS LAST) + (COUNT(*) OVER (PARTITION BY batch, v) - 1) / 2.0 END AS r FROM vr),
@@ -41,10 +70,10 @@ def variance_trend_linear(spark, sf):
     return rounded(hvg.variance_trend(mv, trend="linear"))
 
 
-@query("variance_trend_loess")
+@query("variance_trend_loess", LOESS + f" SELECT {TREND_COLS} FROM tr2")
 def variance_trend_loess(spark, sf):
     mv = C.gene_mean_var(roles.gene_sums(spark, sf), roles.n_cells(spark, sf))
-    return hvg.variance_trend(mv)
+    return rounded(hvg.variance_trend(mv))
 
 
 @query("std_variance_linear", LIN + f" SELECT batch, gene_id, {rnd('vn')} AS variances_norm FROM sv")
@@ -57,10 +86,10 @@ def hvg_rank(spark, sf):
     return rounded(hvgs(spark, sf))
 
 
-@query("hvg_rank_loess")
+@query("hvg_rank_loess", LOESS_RANK + f" SELECT gene_id, highly_variable_nbatches, highly_variable_rank, {rnd('variances_norm')} AS variances_norm, highly_variable FROM hv")
 def hvg_rank_loess(spark, sf):
     st = hvg.gene_variances(roles.gene_sums(spark, sf), roles.n_cells(spark, sf))
-    return hvg.highly_variable_genes(st, 200)
+    return rounded(hvg.highly_variable_genes(st.withColumn("variances_norm", F.round("variances_norm", 9)), 200))
 
 
 @query("hvg_all_cells", LIN.replace("SELECT c_mktsegment AS batch", "SELECT 'all' AS batch") + f""", v AS (SELECT gene_id, round(vn, 9) AS vn FROM sv),
