@@ -23,10 +23,12 @@ from tallyloom.session import ensure_checkpoint_dir
 SLICE = 4 << 20
 GENERATION = 150_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-# Python splits at these, the tokenizer doesn't
-_ODD = re.compile("[\x1c-\x1f]")
-_SIGNS = frozenset(".,!?;:")
-_SPECIAL = frozenset("\u0130\u03a3")  # letters whose lower case differs between the two
+_ODD = "\x1c\x1d\x1e\x1f"  # Python splits at these, the tokenizer doesn't
+# letters whose lower case differs between the two; marks of tokens that are found before lower-casing
+_AS_IS = ("\u0130", "\u03a3", "<|")
+_SIGNS = "[!-/:-@\\[-`{-~]"
+# signs behind a letter, up to the end of the word: units of their own
+_TAIL = re.compile(rf"{_SIGNS}(?<=[^\W\d_]{_SIGNS}){_SIGNS}*(?=\s|$)")
 
 
 class TokenBytes:
@@ -64,51 +66,29 @@ class TokenBytes:
                 out.update(zip(part, self._encode(part)))
         return out
 
-    def _bases(self, bases: set[str]) -> dict[str, bytes]:
-        new, old, found, missing = self.new, self.old, {}, []
-        for w in bases:
-            ids = new.get(w)
-            if ids is None:
-                ids = old.get(w)
-                if ids is None:
-                    missing.append(w)
-                    continue
-                new[w] = ids
-            found[w] = ids
-        fresh = self._fresh(missing)
-        new.update(fresh)
-        found.update(fresh)
-        if len(new) > GENERATION:
-            self.old, self.new = new, {}
-        return found
-
-    def _lookup(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words. Only bases are remembered: a run of letters in lower case, and one sign behind it; the
-        tokenizer lower-cases and never joins letters with signs. Other words are bases themselves."""
-        parts, bases = {}, set()
-        for w in words:
-            core, tail = (w[:-1], w[-1]) if w[-1] in _SIGNS else (w, "")
-            if core.isalpha() and (core.isascii() or (_SPECIAL.isdisjoint(core) and unicodedata.is_normalized("NFC", core))):
-                core = core.lower()
-                if core != w:
-                    parts[w] = core, tail
-                if tail:
-                    bases.add(tail)
-                bases.add(core)
-            else:
-                bases.add(w)
-        found = self._bases(bases)
-        found.update({w: found[core] + found[tail] if tail else found[core] for w, (core, tail) in parts.items()})
-        return found
+    def _learn(self, words: set[str]) -> None:
+        """Afterwards ``new`` holds all words."""
+        missing = words.difference(self.new)
+        known = missing.intersection(self.old)
+        self.new.update(zip(known, map(self.old.__getitem__, known)))
+        self.new.update(self._fresh(list(missing - known)))
+
+    def _words(self, text: str) -> list[str] | None:
+        """Words in lower case, with signs behind them apart, which gives the tokenizer's own ids; None for a text that must be encoded whole."""
+        if any(c in text for c in _ODD):
+            return None
+        if not any(c in text for c in _AS_IS) and unicodedata.is_normalized("NFC", text):
+            text = _TAIL.sub(r" \g<0>", text.lower())
+        return text.split()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        words: set[str] = set()
-        for ws in split:
-            if ws:
-                words.update(ws)
-        get = self._lookup(words).__getitem__
-        return [self._encode([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
+        split = [self._words(t) for t in texts]
+        self._learn(set().union(*[ws for ws in split if ws]))
+        get = self.new.__getitem__
+        out = [self._encode([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
+        if len(self.new) > GENERATION:
+            self.old, self.new = self.new, {}
+        return out
 
 
 @cache

@@ -44,7 +44,8 @@ def test_table(spark):
 
 
 def test_odd_texts(spark):
-    texts = [None, "", " ", "a\x1cb\x1dc", "<|endoftext|> x<|startoftext|>y", "É é ﬁ İSTANBUL ΣΑΣ", "日本語" * 40, "it's we'll 123 $$$%%", "　a b́", "Same, same. ÉTÉ! Σάς, ΟΔΟΣ. İi; d. 's. l'été, x,y ... ,, ǅ. ﬁ! e\u0301. ά", "same", "same", "word " * 500]
+    texts = [None, "", " ", "a\x1cb\x1dc", "<|endoftext|> x<|startoftext|>y", "É é ﬁ İSTANBUL ΣΑΣ", "日本語" * 40, "it's we'll 123 $$$%%", "　a b́", "Same, same. ÉTÉ! Σάς, ΟΔΟΣ. İi; d. 's. l'été, x,y ... ,, ǅ. ﬁ! e\u0301. ά", "same", "same", "word " * 500,
+             "<|EndOfText|>, <|endoftext|>. x", "a_, b_c. d%%% e... f!? g'' h's. ²! ½, x́, a\u00a0b, c\u2028d; ÀÉ... 3, _. l'. Don'T. 'S!", "A.B.C. e.g., (x) [Y]; {z}~ `q` a-b- --c"]
     rows = [(None if i == 3 else i // 2, t) for i, t in enumerate(texts)]
     holds(spark.createDataFrame(rows, "doc_id long, text string"), 16)
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), tokenizer_path()).count() == 0
