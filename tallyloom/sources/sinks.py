@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tallyloom.operators import checks
 from tallyloom.operators.counts import sum_splice
+from tallyloom.operators.ordered import as_list
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -31,6 +32,22 @@ def write_counts_by_batch(counts: DataFrame, path: str, batch: str = "batch", fi
     out.repartition(F.col(batch), slot).sortWithinPartitions(batch, "gene_id").write.mode(mode).partitionBy(batch).parquet(path)
 
 
+def write_bucketed_counts(counts: DataFrame, name: str, path: str | None = None, by: str | Sequence[str] = "batch", n_buckets: int | None = None) -> DataFrame:
+    """Splice-summed counts as a table bucketed and sorted by group and gene, one file per bucket; returns the table.
+
+    Moments and clipped sums per group and gene (``counts.gene_mean_var``, ``counts.clipped_sums``) then read it without an
+    exchange of the counts, however often. ``n_buckets``: by default the session's shuffle partitions. ``path`` is a shared
+    folder; without one the warehouse is used. The largest bucket holds at least the cells of the largest group
+    that have its most frequent gene.
+    """
+    spark, keys = counts.sparkSession, [*as_list(by), "gene_id"]
+    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = sum_splice(counts, (*as_list(by), "cell_id", "gene_id")).repartition(n, *keys)  # the hash of the buckets
+    writer = out.write.bucketBy(n, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return spark.table(name)
+
+
 def clean_batches(counts: DataFrame, cells: DataFrame, integration: DataFrame) -> DataFrame:
     """Counts of clean cells with the batch; doublets and doublet clusters are gone."""
     ok = integration.where(~F.col("is_dbl") & ~F.col("in_dbl_cl")).select("cell_id")

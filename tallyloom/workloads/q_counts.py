@@ -1,9 +1,13 @@
 """Count-table queries: splice sums, totals, moments, normalisation."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyloom.operators import counts as C
 from tallyloom.operators import hvg, joins, ordered
+from tallyloom.session import ensure_checkpoint_dir
+from tallyloom.sources import sinks
 from tallyloom.workloads import roles
 from tallyloom.workloads.registry import query, rounded
 from tallyloom.workloads.sql_parts import X, rnd
@@ -123,6 +127,26 @@ def clipped_sums(spark, sf):
                       F.round("squared_counts_sum", 4).alias("squared_counts_sum"))
 
 
+def _bucketed(spark, sf):
+    name = f"counts_{uuid.uuid4().hex}"
+    return sinks.write_bucketed_counts(roles.counts(spark, sf), name, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+
+
+@query("bucketed_mean_var", _MV + f" SELECT batch, gene_id, n_cells, {rnd('mean')} AS mean, {rnd('variance')} AS variance FROM mv")
+def bucketed_mean_var(spark, sf):
+    return rounded(C.gene_mean_var(_bucketed(spark, sf), roles.n_cells(spark, sf)))
+
+
+@query("bucketed_clipped_sums", _CL + f""" SELECT batch, gene_id, {rnd('SUM(least(n, clip_val))')} AS counts_sum,
+  {rnd('SUM(least(n, clip_val) * least(n, clip_val))', 4)} AS squared_counts_sum FROM g JOIN clip USING (batch, gene_id) GROUP BY 1, 2""")
+def bucketed_clipped_sums(spark, sf):
+    gs = _bucketed(spark, sf)
+    mv = C.gene_mean_var(gs, roles.n_cells(spark, sf))
+    out = C.clipped_sums(gs, mv.withColumn("clip_val", 2.0 * F.col("mean") + 20.0))
+    return out.select("batch", "gene_id", F.round("counts_sum", 6).alias("counts_sum"),
+                      F.round("squared_counts_sum", 4).alias("squared_counts_sum"))
+
+
 @query("library_sizes", X + " SELECT batch, cell_id, SUM(n) AS lib_size FROM g GROUP BY 1, 2")
 def library_sizes(spark, sf):
     return C.library_sizes(roles.counts(spark, sf), ["batch", "cell_id"])
