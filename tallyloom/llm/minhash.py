@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import arrays as A
@@ -130,8 +130,8 @@ def least_share(percent: int, size: int) -> float:
     return p - 5 * (p * (1 - p) / size) ** 0.5
 
 
-def likely(pairs: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose signatures (x, y) allow the similarity."""
+def likely(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose signatures (rep, sig) allow the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,27 +139,33 @@ def likely(pairs: DataFrame, percent: int) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(v.as_buffer() for v in batch.column(i)), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array((x == y).mean(1) >= least_share(percent, x.shape[1])))
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("x")), "a").join(
+        sigs.select(F.col("rep").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def stubborn_links(members: DataFrame, bands: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
+def stubborn_links(members: DataFrame, features: DataFrame, bands: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
     """Links (a, b) between components of one bucket that pivots have not joined.
 
-    members: bucket, rep, n, label, sig, items. In each bucket those outside the largest component meet all
+    members: bucket, rep, n, label. features: rep, sig, items; only those that meet others take them along. In each bucket those outside the largest component meet all
     others, block by block. A pair is looked at in the first bucket that it shares; where its signatures
     allow the similarity the full sets decide. Each one outside hands on one link to each component of a
     block, never its candidates. Without ``items`` the result is who has candidates at all (bucket, rep).
     """
-    with_items = "items" in members.columns
+    with_items = "items" in features.columns
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("c"))
     big = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("big"), F.sum("c").alias("all"), F.max("c").alias("most"), F.count("*").alias("labels")).where("labels > 1")
-    every = members.join(big, "bucket").withColumn("stray", F.col("label") != F.col("big"))
-    n_stray, n_all = F.ceil((F.col("all") - F.col("most")) / block), F.ceil(F.col("all") / block)
-    h = F.xxhash64("rep")
-    own = F.pmod(h, n_all).cast("int")
-    cols = [*members.columns, "stray"]
-    left = every.where("stray").select(*cols, F.lit(True).alias("side"), F.pmod(F.xxhash64("rep", F.lit(1)), n_stray).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), (n_all - 1).cast("int"))).alias("j"))
-    right = every.select(*cols, F.lit(False).alias("side"), F.explode(F.sequence(F.lit(0), (n_stray - 1).cast("int"))).alias("i"), own.alias("j"))
+    every = members.join(big, "bucket").withColumn("stray", F.col("label") != F.col("big")).join(features, "rep")
+    n_stray, n_all = (F.ceil(c / block).cast("int") for c in (F.col("all") - F.col("most"), F.col("all")))
+
+    def part(n: Column, *seed: Column) -> Column:
+        return F.pmod(F.xxhash64("rep", *seed), n).cast("int")
+
+    def places(side: bool, i: Callable, j: Callable, n: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(F.lit(side).alias("side"), i(k).alias("i"), j(k).alias("j")))
+
+    left = places(True, lambda k: part(n_stray, F.lit(1)), lambda k: k, n_all)
+    right = places(False, lambda k: k, lambda k: part(n_all), n_stray)
+    dealt = every.withColumn("at", F.explode(F.when(F.col("stray"), F.concat(left, right)).otherwise(right))).select(*members.columns, *features.drop("rep").columns, "stray", "at.*")
 
     def meet(t: pa.Table) -> pa.Table:
         side = t.column("side").to_numpy()
@@ -191,7 +197,7 @@ def stubborn_links(members: DataFrame, bands: int, rows: int, percent: int, bloc
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
         return pa.table({"bucket": t.column("bucket").filter(pa.array(busy)), "rep": pa.array(rep[busy], pa.int64())})
 
-    return left.unionAll(right).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long" if with_items else "bucket long, rep long")
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long" if with_items else "bucket long, rep long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -236,14 +242,15 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80, bands: i
         return marked.join(split, "bucket", "left_semi")
 
     # another pivot for each of these buckets, by a hash, so that a document meets many of them
-    left = mixed(members.select("bucket", "rep", "n"), labels).join(known.select("rep", "sig"), "rep").checkpoint()
-    second = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "label", "sig"), F.xxhash64("rep", "bucket")).alias("pivot"))
+    sigs = known.select("rep", "sig").join(wanted, "rep", "left_semi").checkpoint()
+    left = mixed(members.select("bucket", "rep", "n"), labels).checkpoint()
+    second = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "label"), F.xxhash64("rep", "bucket")).alias("pivot"))
     others = left.join(second, "bucket").where(F.col("label") != F.col("pivot.label")).where(fits)
-    pairs = likely(others.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b"), F.col("sig").alias("x"), F.col("pivot.sig").alias("y")), percent)
+    pairs = likely(others.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct(), sigs, percent)
     labels = components(confirm(pairs, sets, percent).checkpoint(), labels)
-    again = mixed(left.drop("label"), labels).select("bucket", "rep", "n", "label", "sig")
-    busy = stubborn_links(again, bands, rows, percent).distinct().checkpoint()
-    labels = components(stubborn_links(again.join(busy, ["bucket", "rep"], "left_semi").join(sets, "rep"), bands, rows, percent).distinct().checkpoint(), labels)
+    again = mixed(left.drop("label"), labels).select("bucket", "rep", "n", "label").checkpoint()
+    busy = stubborn_links(again, sigs, bands, rows, percent).distinct().checkpoint()
+    labels = components(stubborn_links(again.join(busy, ["bucket", "rep"], "left_semi"), sigs.join(sets, "rep"), bands, rows, percent).distinct().checkpoint(), labels)
 
     of_class = classes.select("n", "h1", "h2", "rep").join(labels, "rep", "left").select("n", "h1", "h2", F.coalesce("label", "rep").alias("component"))
     single = feats.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))

@@ -46,3 +46,17 @@ def test_signature_estimates_similarity():
     a, b = x[:2000], x[500:2500]  # 1500 of 2500 shared
     s = minhash.signatures(np.concatenate([a, b]), np.array([0, 2000]), 1024)
     assert abs((s[0] == s[1]).mean() - 0.6) < 0.06
+
+
+def test_signatures_travel_only_with_those_that_meet(spark):
+    """Rows of buckets carry no signatures or sets; what stubborn buckets send is theirs alone."""
+    sig = bytes(512)
+    members = spark.createDataFrame([(b * 32, r, 9, r if b else 1) for b in range(2) for r in range(1, 4)], "bucket long, rep long, n long, label long")
+    features = spark.createDataFrame([(r, sig, np.arange(9, dtype=np.uint64).tobytes()) for r in range(1, 9)], "rep long, sig binary, items binary")
+    busy = minhash.stubborn_links(members, features.drop("items"), 32, 4, 80)
+    assert {tuple(r) for r in busy.collect()} == {(32, 1), (32, 2), (32, 3)}
+    links = minhash.stubborn_links(members, features, 32, 4, 80, block=2)
+    found = {tuple(r) for r in links.collect()}
+    assert {x for link in found for x in link} == {1, 2, 3} and all(a < b for a, b in found)
+    pairs = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert sorted(map(tuple, minhash.likely(pairs, features.drop("items"), 80).collect())) == [(1, 2), (2, 3)]
