@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import debruijn, decontam, langid, minhash, packing
 from tallyloom.llm.queries import read, tokenizer_path
-from tallyloom.session import ensure_checkpoint_dir, ship_package
+from tallyloom.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
 MAIN_SHARE = 0.5  # of a document's letters in its main language
 
@@ -43,7 +43,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a test item, maybe edited."""
     ship_package(spark)
-    leaks = decontam.find_leaks(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    # few ids; written first, so that Spark knows their size and need not send all texts to meet them
+    leaks = cut_lineage(decontam.find_leaks(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct())
     return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import arrays as A
 
-SLICE = 2 << 20
+SLICE = 1 << 19  # bytes of text at a time
 BLOCK_WORDS = 400_000  # words of test items that are broadcast at a time
 MATCH, MISMATCH, GAP = 2, -1, -1
 PAIRS = 1 << 18  # hits, each with one item, that are looked at together
@@ -169,7 +169,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float =
     bench = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text"))
     total = bench.agg(F.coalesce(F.sum(F.size(F.split("text", " "))), F.lit(0)).alias("w")).first()["w"]
     n_blocks = max(1, -(-int(total) // BLOCK_WORDS))
-    found = spark.createDataFrame([], OUT)
+    # no rows, and no Python workers of a kind that nothing else uses
+    found = spark.range(0).selectExpr(*[f"CAST(id AS {kind}) AS {name}" for name, kind in (c.split() for c in OUT.split(", "))])
     for b in range(n_blocks):
         part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
         rows = sorted((tuple(r) for r in part.collect()), key=str)  # bounded by BLOCK_WORDS

@@ -86,3 +86,14 @@ def test_one_seed_is_enough(spark):
     docs = [(1, " ".join(["before"] * 9 + edited + ["after"] * 9)), (2, " ".join(apart)), (3, "item0 item1 item2 " * 3)]
     got = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
     assert sorted((r["doc_id"], round(r["score"], 4)) for r in got) == [(1, 0.6), (2, round(25 / 30, 4))]
+
+
+def test_no_rows_are_made_in_python(spark):
+    """Rows from a Python list would start a second set of Python workers beside those of the Arrow steps."""
+    docs = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    for items in (bench, bench.where("false")):
+        out = decontam.find_leaks(spark.range(1).selectExpr("id AS doc_id", "'x' AS text"), items)
+        assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.schema.simpleString() == "struct<doc_id:bigint,item_id:bigint,score:double,first_word:bigint,last_word:bigint,n_seeds:int>"
+    assert decontam.find_leaks(docs, bench.where("false")).count() == 0

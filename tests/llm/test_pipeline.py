@@ -66,3 +66,16 @@ def test_empty_table(spark, shared):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_texts_are_not_sent_to_meet_few_leaks(spark, shared):
+    sf = "/root/testdata/sf0.001"
+    name, least = "spark.sql.autoBroadcastJoinThreshold", "40k"  # less than the documents, more than the ids
+    was = spark.conf.get(name)
+    spark.conf.set(name, least)
+    try:
+        out = corpus_pipeline.benchmark_leaks(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, was)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
