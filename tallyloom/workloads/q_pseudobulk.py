@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import counts as C
 from tallyloom.operators import pseudobulk as P
+from tallyloom.session import cut_lineage
 from tallyloom.workloads import roles
 from tallyloom.workloads.registry import query, rounded
 from tallyloom.workloads.sql_parts import PB, QC, rnd
@@ -34,7 +35,8 @@ def base(spark, sf):
 
 def pb_table(spark, sf):
     gs, n = base(spark, sf)
-    return P.pseudobulk(gs, n), n
+    n = cut_lineage(n)  # both feed many branches
+    return cut_lineage(P.pseudobulk(gs, n)), n
 
 
 @query("pseudobulk_sum", PB + f""" SELECT cluster, batch, gene_id, cnt AS count, n_det AS n_detected, n_cells, {rnd('cnt / n_cells')} AS mean,
