@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import as_list
-
-GRID_SALTS = 32
+from tallyloom.session import cut_lineage
 
 
 def attach(left: DataFrame, right: DataFrame, on, fill: Mapping[str, object] | None = None) -> DataFrame:
@@ -65,14 +66,26 @@ def complete(df: DataFrame, rows: Sequence[str], cols: Sequence[str], fill: Mapp
              row_values: DataFrame | None = None) -> DataFrame:
     """Add the missing (rows, cols) combinations with fill values.
 
-    The result has a row for each pair by definition. Distinct column keys are copied to every salt and
-    meet the row keys of that salt in an equi-join, so no list of keys is gathered anywhere.
+    The result has a row for each pair by definition. Column keys (one per sample) are numbered in a small written table;
+    each row key gathers its own numbers, at most one per sample, and adds those it lacks where it stands, so the
+    filled table is never sent anywhere.
     """
-    base = (row_values if row_values is not None else df).select(*rows).distinct()
-    salted = base.withColumn("_salt", F.pmod(F.xxhash64(*rows), F.lit(GRID_SALTS)).cast("int"))
-    copies = df.select(*cols).distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GRID_SALTS - 1))))
-    grid = salted.join(copies, "_salt").drop("_salt")
-    return grid.join(df, [*rows, *cols], "left").fillna(dict(fill))
+    values = [c for c in df.columns if c not in (*rows, *cols)]
+    listed = df.select(*cols).distinct().agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_k"))
+    names = cut_lineage(listed.select(F.posexplode("_k").alias("_i", "_c")).select("_i", "_c.*"))
+    n = names.count()
+    if not n:
+        return df.select(*rows, *cols, *values).where("false")
+    known = reduce(and_, [F.col(c).isNotNull() for c in ("_i", *rows)])  # a null key meets nothing
+    own = df.join(names, list(cols), "left").groupBy(*rows).agg(F.collect_list(F.when(known, F.struct("_i", *values))).alias("_own"))
+    if row_values is not None:
+        own = row_values.select(*rows).distinct().join(own, list(rows), "left")
+    empty = F.array().cast(own.schema["_own"].dataType)
+    own = own.withColumn("_own", F.coalesce("_own", empty))
+    lacking = F.array_except(F.sequence(F.lit(0), F.lit(n - 1)), F.col("_own._i"))
+    blank = F.transform(lacking, lambda i: F.struct(i.alias("_i"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in values]))
+    every = own.select(*rows, F.explode(F.concat("_own", blank)).alias("_e")).select(*rows, "_e.*")
+    return every.join(names, "_i").select(*rows, *cols, *values).fillna(dict(fill))
 
 
 def within_interval(values: DataFrame, bounds: DataFrame, on, value: str, lo: str, hi: str) -> DataFrame:
