@@ -63,3 +63,11 @@ def test_empty_and_constant(spark):
     assert hvg.variance_trend(t.limit(0)).count() == 0
     r = hvg.variance_trend(t.selectExpr("batch", "gene_id", "n_cells", "mean", "0.0D variance")).collect()
     assert [x["estimated_variance"] for x in r] == [0.0]
+
+
+def test_places_are_looked_for_once_a_row_and_groups_are_not_gathered(spark):
+    rng = np.random.default_rng(5)
+    x = np.sort(rng.normal(0, 1, 500))
+    plan = hvg.variance_trend(table(spark, {"a": (x, x + rng.normal(0, 0.1, 500))}))._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("filter(") == 1  # it stood in the plan once for each use of a place
+    assert "Exchange hashpartitioning" not in plan.executedPlan().toString()  # all points of a group went to one task
