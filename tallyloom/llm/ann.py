@@ -13,7 +13,9 @@ from pyspark.sql import Window as W
 
 BLOCK = 2048  # vectors of a list that are scanned together
 QUERY_BLOCK = 256
-VALUES = "list int, block int, ids binary, original binary, rotated binary"
+ASK_ROWS = 16_384  # queries and lists that a task pairs
+PAIRS = 1 << 16  # pairs of a query and a vector that a task holds at once
+VALUES = "list int, block int, ids binary, original binary"
 
 
 @dataclass
@@ -72,26 +74,39 @@ def fit(vectors: DataFrame, n: int, dim: int, sample: int = 40_000, k: int = 10,
     return Index(rotation, centres, float(np.quantile(places, recall, method="higher") / len(centres)) if len(places) else 1.0)
 
 
-def adaptive_scan(q: np.ndarray, rotated: np.ndarray, k: int, bound: float, step: int, epsilon: float) -> np.ndarray:
-    """Candidates whose distance may be among the ``k`` smallest.
+def adaptive_scan(q: np.ndarray, rotated: np.ndarray, k: int, step: int, epsilon: float, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, candidate) whose distance may be among the query's ``k`` smallest, but for those in ``skip``.
 
-    Dimensions are read in column blocks. After d of D of them the scaled partial distance is tested
-    against the k-th smallest known: a candidate goes when partial > bound * d / D * (1 + epsilon / sqrt(d))**2,
+    Dimensions are read in column blocks, the first one for all pairs at once. After d of D of them the scaled partial distance is
+    tested against the k-th smallest known: a candidate goes when partial > bound * d / D * (1 + epsilon / sqrt(d))**2,
     which for a random rotation rejects a nearer vector only with a small probability.
     """
-    dim = len(q)
+    dim = q.shape[1]
+    norms = (q**2).sum(1)[:, None], (rotated**2).sum(1)
+    slack = (dim + 8) * 4e-15 * (norms[0][:, 0] + norms[1].max(initial=0.0))  # of the products of matrices
+
+    def squares(rows: int, upto: int) -> np.ndarray:
+        a, b = q[:, :upto], rotated[:rows, :upto]
+        d = (a**2).sum(1)[:, None] + (b**2).sum(1) - 2 * a @ b.T
+        return np.where(np.isnan(d), 0.0, d)  # beyond doubles: not known, so not rejected
+
     # the first rows give a bound to start from
-    head = ((rotated[: 4 * k] - q) ** 2).sum(1)
-    if len(head) >= k:
-        bound = min(bound, np.partition(head, k - 1)[k - 1])
-    at = np.arange(len(rotated))
-    partial = np.zeros(len(rotated))
-    for d in range(0, dim, step):
-        partial += ((rotated[at, d : d + step] - q[d : d + step]) ** 2).sum(1)
-        seen = min(d + step, dim)
-        keep = partial <= bound * (seen / dim) * (1 + (epsilon / np.sqrt(seen) if seen < dim else 1e-9)) ** 2
-        at, partial = at[keep], partial[keep]
-    return at
+    head = np.where(skip[:, : 4 * k], np.inf, squares(4 * k, dim))
+    bound = (np.partition(head, k - 1, axis=1)[:, k - 1] if head.shape[1] >= k else np.full(len(q), np.inf)) + slack
+    bound = np.where(np.isfinite(norms[0][:, 0] + norms[1].max(initial=0.0)), bound, np.inf)
+
+    def most(seen: int) -> np.ndarray:
+        return bound * (seen / dim) * (1 + (epsilon / np.sqrt(seen) if seen < dim else 1e-9)) ** 2 + slack
+
+    partial = squares(len(rotated), min(step, dim))
+    rows, cols = np.nonzero((partial <= most(min(step, dim))[:, None]) & ~skip)
+    partial = partial[rows, cols]
+    for d in range(step, dim, step):
+        gap = rotated[cols, d : d + step] - q[rows, d : d + step]
+        partial += np.einsum("ij,ij->i", gap, gap)
+        keep = partial <= most(min(d + step, dim))[rows]
+        rows, cols, partial = rows[keep], cols[keep], partial[keep]
+    return rows, cols
 
 
 def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: str = "embedding", dim: int | None = None, k: int = 10, recall: float = 0.97,
@@ -140,7 +155,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
         t = t.sort_by("vec_id")
         x = matrix(t.column("v"), dim)
         return pa.table({"list": t.column("list")[:1], "block": t.column("block")[:1], "ids": pa.array([t.column("vec_id").to_numpy().tobytes()], pa.binary()),
-                         "original": pa.array([x.tobytes()], pa.binary()), "rotated": pa.array([(x @ full.value.rotation).tobytes()], pa.binary())})
+                         "original": pa.array([x.tobytes()], pa.binary())})
 
     stored = blocks.groupBy("list", "block").applyInArrow(store, VALUES)
 
@@ -159,7 +174,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
             yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(lists.astype(np.int32)), batch.column(1).take(pa.array(q))], ["query_id", "list", "q"])
 
     n_queries = queries.count()
-    asked = usable(queries, id_col, vector, dim).dropDuplicates(["vec_id"]).mapInArrow(probes, "query_id long, list int, q array<double>")
+    tasks = 1 + int(n_queries * index.probe * len(index.centres)) // ASK_ROWS  # a few bytes of queries become many rows
+    asked = usable(queries, id_col, vector, dim).repartition(tasks, "vec_id").dropDuplicates(["vec_id"]).mapInArrow(probes, "query_id long, list int, q array<double>")
     # the queries of a list in blocks as well: about QUERY_BLOCK if the list is as hot as an average one
     per_list = max(1, int(n_queries * index.probe) // QUERY_BLOCK)
     grouped = asked.groupBy("list", F.pmod(F.xxhash64("query_id"), F.lit(per_list)).alias("qb")).agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
@@ -167,21 +183,25 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             query_id, vec_id, score = [], [], []
-            for ids, original, rotated, asked_ in zip(*(batch.column(c) for c in ("ids", "original", "rotated", "asked"))):
+            for ids, original, asked_ in zip(*(batch.column(c) for c in ("ids", "original", "asked"))):
                 own = np.frombuffer(ids.as_buffer(), np.int64)
-                x, r = (np.frombuffer(v.as_buffer(), np.float64).reshape(-1, dim) for v in (original, rotated))
-                for item in asked_.as_py():
-                    q = np.array(item["q"])
-                    other = own != item["query_id"]
-                    base = np.flatnonzero(other)
-                    at = base[adaptive_scan(q @ full.value.rotation, r[base], k, np.inf, step, epsilon)]
-                    d = np.sqrt(((x[at] - q) ** 2).sum(1))
-                    best = np.lexsort((own[at], d))[:k]
-                    query_id += [item["query_id"]] * len(best)
-                    vec_id += own[at][best].tolist()
+                x = np.frombuffer(original.as_buffer(), np.float64).reshape(-1, dim)
+                r = x @ full.value.rotation
+                asker, q = asked_.values.flatten()
+                asker, q = asker.to_numpy(), matrix(q, dim)
+                for i in range(0, len(q), many := max(1, PAIRS // len(x))):
+                    t = slice(i, i + many)
+                    rows, at = adaptive_scan(q[t] @ full.value.rotation, r, k, step, epsilon, asker[t, None] == own)
+                    d = np.sqrt(((x[at] - q[t][rows]) ** 2).sum(1))
+                    order = np.lexsort((own[at], d, rows))
+                    rows, at, d = rows[order], at[order], d[order]
+                    best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+                    query_id += asker[t][rows[best]].tolist()
+                    vec_id += own[at[best]].tolist()
                     score += d[best].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(query_id, pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
 
-    found = stored.join(grouped, "list").select("ids", "original", "rotated", "asked").mapInArrow(scan, "query_id long, vec_id long, score double")
+    # the queries grow with their lists, which Spark does not see from their own few bytes: it would send all of them through the driver
+    found = stored.join(grouped.hint("merge"), "list").select("ids", "original", "asked").mapInArrow(scan, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
