@@ -52,7 +52,7 @@ def doublet_scores(gene_sums: DataFrame, genes: DataFrame, min_feats: int = MIN_
     both = cut_lineage(real.unionByName(sim).join(genes.select("gene_id").distinct(), "gene_id", "left_semi"))
     ids = both.select(run, "is_sim", "own_id", "cell_id").distinct()
     logs = C.log_normalise(both.select("cell_id", "gene_id", "count"), C.library_sizes(both))
-    emb = embed.pca(embed.scaled_vectors(logs, genes), n_dims).join(ids.select("cell_id", run), "cell_id")
+    emb = embed.components(logs, genes, n_dims=n_dims).join(ids.select("cell_id", run), "cell_id")
     nn = embed.knn(cut_lineage(emb), k, by=run, seed=seed)
     of = ids.select(F.col("cell_id").alias("neighbour"), F.col("is_sim").alias("_sim"))
     score = nn.join(of, "neighbour").groupBy("cell_id").agg((F.count_if("_sim") / F.count(F.lit(1))).alias("dbl_score"))
