@@ -57,7 +57,7 @@ def empty_drops(spark, sf):
 def _decontaminated(spark, sf):
     """Cells = customers grouped by nation, background = counts of lines with open status."""
     cl = roles.clustered_cells(spark, sf)
-    x = roles.cell_counts(spark, sf).join(cl, "cell_id").select(F.col("batch").alias("run_id"), F.col("cell_id").alias("barcode"), "cluster", "gene_id", "count", "splice")
+    x = cut_lineage(roles.cell_counts(spark, sf).join(cl, "cell_id").select(F.col("batch").alias("run_id"), F.col("cell_id").alias("barcode"), "cluster", "gene_id", "count", "splice"))
     empties = x.where("splice = 'A'").groupBy("run_id", "gene_id").agg(F.sum("count").alias("count"))
     clusters = x.select("run_id", "barcode", "cluster").distinct()
     return A.decontaminate(x.select("run_id", "barcode", "gene_id", "count"), clusters, empties)
