@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,9 +98,28 @@ def enrichment(at: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.where(high >= -low, high, low)
 
 
-def _vectors(ranks: DataFrame, cluster: str) -> DataFrame:
-    """Scores of each cluster from the highest to the lowest, one number per gene of the annotation."""
-    return ranks.groupBy(cluster).agg(F.reverse(F.array_sort(F.collect_list("stat"))).alias("stats"))
+TASKS = 100  # slices of jobs
+
+
+def _by_scores(jobs: DataFrame, ranks: DataFrame, cluster: str, deal: list[str], fit: Callable[[list[dict], np.ndarray], list[dict]], columns: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
+    """``fit(rows, stats)`` for the rows of ``jobs``, with their cluster's scores from the highest to the lowest.
+
+    A cluster's jobs are dealt by ``deal`` in slices, about TASKS for all clusters. Scores (one per gene of the annotation) go as rows, once to
+    each slice, so a task holds the scores of one cluster once, however many jobs there are. ``columns`` of the result: Spark's and Arrow's type; the cluster comes first.
+    """
+    jobs = cut_lineage(jobs)
+    slices = -(-TASKS // max(1, jobs.select(cluster).distinct().count()))
+    jobs = jobs.withColumn("_slice", F.pmod(F.xxhash64(*deal), F.lit(slices)).cast("int"))
+    stats = ranks.select(cluster, "stat").join(jobs.select(cluster, "_slice").distinct(), cluster).select(cluster, "_slice", "stat").toDF("_cluster", "_part", "stat")
+
+    def run(rows: pa.Table, scores: pa.Table) -> pa.Table:
+        kind = pa.schema([rows.schema.field(cluster), *((c, t) for c, (_, t) in columns.items())])
+        if not rows.num_rows or not scores.num_rows:
+            return kind.empty_table()
+        return pa.Table.from_pylist(fit(rows.to_pylist(), np.sort(scores["stat"].to_numpy().astype(float))[::-1]), kind)
+
+    kind = ", ".join([f"`{cluster}` {dict(jobs.dtypes)[cluster]}", *(f"{c} {t}" for c, (t, _) in columns.items())])
+    return jobs.groupBy(cluster, "_slice").cogroup(stats.groupBy("_cluster", "_part")).applyInArrow(run, kind)
 
 
 DRAWS = 1 << 21  # numbers drawn at a time
@@ -107,30 +128,27 @@ DRAWS = 1 << 21  # numbers drawn at a time
 def null_scores(ranks: DataFrame, sizes: DataFrame, n_perm: int = 1000, chunk: int = 250, seed: int = 42, cluster: str = "cluster") -> DataFrame:
     """Scores of random sets of every size wanted per cluster: (cluster, size, null_es).
 
-    Each task draws ``chunk`` random sets for one cluster and size from the cluster's sorted score vector.
+    Each task draws ``chunk`` random sets of each size for one cluster from the cluster's sorted score vector.
     """
     want = sizes.select(cluster, F.col("size").cast("long").alias("size")).distinct()
-    jobs = want.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // chunk)))).repartition(F.col(cluster), F.col("size"), F.col("part"))
-    jobs = jobs.join(_vectors(ranks, cluster), cluster)
-
-    def draw(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                w, size = np.abs(np.asarray(r.stats, float)), int(r.size)
-                if size >= len(w):
-                    continue
-                rng = np.random.default_rng([seed, int(r.part), size])
-                left, found = min(chunk, n_perm - int(r.part) * chunk), []
-                while left > 0:
-                    many = min(left, max(1, DRAWS // max(size, len(w) if 2 * size > len(w) else 1)))
-                    found.append(enrichment(draw_sets(rng, many, len(w), size), w))
-                    left -= many
-                out.append((r[0], size, np.concatenate(found).tolist()))
-            yield pd.DataFrame(out, columns=[cluster, "size", "null_es"])
-
-    kind = dict(ranks.dtypes)[cluster]
-    drawn = jobs.select(cluster, "size", "part", "stats").mapInPandas(draw, f"`{cluster}` {kind}, size long, null_es array<double>")
+    jobs = want.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // chunk))))
+
+    def draw(rows: list[dict], stats: np.ndarray) -> list[dict]:
+        w, out = np.abs(stats), []
+        for r in rows:
+            size, part = r["size"], r["part"]
+            if size >= len(w):
+                continue
+            rng = np.random.default_rng([seed, part, size])
+            left, found = min(chunk, n_perm - part * chunk), []
+            while left > 0:
+                many = min(left, max(1, DRAWS // max(size, len(w) if 2 * size > len(w) else 1)))
+                found.append(enrichment(draw_sets(rng, many, len(w), size), w))
+                left -= many
+            out.append({cluster: r[cluster], "size": size, "null_es": np.concatenate(found).tolist()})
+        return out
+
+    drawn = _by_scores(jobs, ranks, cluster, ["size", "part"], draw, {"size": ("long", pa.int64()), "null_es": ("array<double>", pa.list_(pa.float64()))})
     return drawn.select(cluster, "size", F.explode("null_es").alias("null_es"))
 
 
@@ -147,9 +165,7 @@ def split_levels(w: np.ndarray, size: int, scores: np.ndarray, rng: np.random.Ge
     """
     n = len(w)
     at = draw_sets(rng, sample, n, size)
-    inside = np.zeros((sample, n), bool)
     row = np.arange(sample)
-    inside[row[:, None], at] = True
     high, low = deviations(at, w)
     p, level = np.zeros(len(scores)), np.zeros(len(scores), np.int64)
     open_, reached, depth = np.ones(len(scores), bool), 1.0, 0
@@ -165,17 +181,16 @@ def split_levels(w: np.ndarray, size: int, scores: np.ndarray, rng: np.random.Ge
         reached *= stay.mean()
         depth += 1
         source = rng.choice(np.flatnonzero(stay), int((~stay).sum()))
-        for x in (at, inside, high, low):
+        for x in (at, high, low):
             x[~stay] = x[source]
         for _ in range(moves):
             gene, column = rng.integers(0, n, sample), rng.integers(0, size, sample)
+            inside = (at == gene[:, None]).any(1)
             new = at.copy()
             new[row, column] = gene
             new.sort(axis=1)
             up, down = deviations(new, w)
-            take = np.flatnonzero(~inside[row, gene] & (up > cut))
-            inside[take, at[take, column[take]]] = False
-            inside[take, gene[take]] = True
+            take = np.flatnonzero(~inside & (up > cut))
             at[take], high[take], low[take] = new[take], up[take], down[take]
 
 
@@ -187,20 +202,18 @@ def multilevel_p(ranks: DataFrame, wanted: DataFrame, replicates: int = 4, seed:
     """
     keys = [cluster, "size", "up"]
     jobs = wanted.select(cluster, F.col("size").cast("long").alias("size"), (F.col("es") >= 0).alias("up"), "es").distinct().groupBy(*keys).agg(F.collect_set("es").alias("scores"))
-    jobs = jobs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).repartition(*keys, "part").join(_vectors(ranks, cluster), cluster)
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                w, es = np.abs(np.asarray(r.stats, float)), np.asarray(r.scores, float)
-                rng = np.random.default_rng([seed, int(r.part), int(r.size), int(r.up)])
-                p, level = split_levels(w if r.up else w[::-1], int(r.size), np.abs(es), rng)
-                out += [(r[0], int(r.size), float(e), float(x), int(k)) for e, x, k in zip(es, p, level)]
-            yield pd.DataFrame(out, columns=[cluster, "size", "es", "tail", "levels"])
-
-    kind = dict(ranks.dtypes)[cluster]
-    got = jobs.select(cluster, "size", "up", "part", "scores", "stats").mapInPandas(run, f"`{cluster}` {kind}, size long, es double, tail double, levels long")
+    jobs = jobs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+
+    def run(rows: list[dict], stats: np.ndarray) -> list[dict]:
+        w, out = np.abs(stats), []
+        for r in rows:
+            es = np.asarray(r["scores"], float)
+            rng = np.random.default_rng([seed, r["part"], r["size"], int(r["up"])])
+            p, level = split_levels(w if r["up"] else w[::-1], r["size"], np.abs(es), rng)
+            out += [{cluster: r[cluster], "size": r["size"], "es": float(e), "tail": float(x), "levels": int(k)} for e, x, k in zip(es, p, level)]
+        return out
+
+    got = _by_scores(jobs, ranks, cluster, ["size", "up", "part"], run, {"size": ("long", pa.int64()), "es": ("double", pa.float64()), "tail": ("double", pa.float64()), "levels": ("long", pa.int64())})
     return got.groupBy(cluster, "size", "es").agg(F.avg("tail").alias("tail"), F.max("levels").alias("levels"))
 
 
@@ -253,38 +266,35 @@ def conditional_tests(results: DataFrame, ranks: DataFrame, sets: DataFrame, n_p
     score = results.select(cluster, F.col("pathway").alias("other"), (F.col("es") >= 0).alias("up"))
     each = pairs.join(genes.withColumnsRenamed({"pathway": "other", "genes": "others"}), [cluster, "other"]).join(score, [cluster, "other"])
     jobs = each.groupBy(cluster, "pathway").agg(F.array_sort(F.collect_list(F.struct("other", "others", "up"))).alias("tests"))
-    jobs = jobs.join(genes, [cluster, "pathway"]).join(_vectors(ranks, cluster), cluster)
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                w = np.abs(np.asarray(r.stats, float))
-                own = np.zeros(len(w), bool)
-                own[np.asarray(r.genes) - 1] = True
-                rng = np.random.default_rng([seed, len(r.genes), int(r.genes[0])])
-                least = {t["other"]: 1.0 for t in r.tests}
-                for part in (~own, own):
-                    there, place = w[part], np.cumsum(part) - 1
-                    known: dict[tuple, np.ndarray] = {}
-                    for t in r.tests:
-                        at = np.asarray(t["others"]) - 1
-                        at = place[at[part[at]]][None]
-                        size = at.shape[1]
-                        if not 1 <= size < len(there):
-                            continue
-                        up = bool(t["up"])
-                        if (size, up) not in known:
-                            null = deviations(draw_sets(rng, n_perm, len(there), size), there)
-                            known[size, up] = null[0] if up else -null[1]
-                        es = deviations(at, there)
-                        es = es[0][0] if up else -es[1][0]
-                        least[t["other"]] = min(least[t["other"]], (1 + np.count_nonzero(known[size, up] >= es)) / (n_perm + 1))
-                out += [(r[0], r.pathway, o, p) for o, p in least.items()]
-            yield pd.DataFrame(out, columns=[cluster, "pathway", "other", "min_p"])
-
-    kind = dict(results.dtypes)[cluster]
-    return jobs.select(cluster, "pathway", "genes", "tests", "stats").mapInPandas(run, f"`{cluster}` {kind}, pathway string, other string, min_p double")
+    jobs = jobs.join(genes, [cluster, "pathway"])
+
+    def run(rows: list[dict], stats: np.ndarray) -> list[dict]:
+        w, out = np.abs(stats), []
+        for r in rows:
+            own = np.zeros(len(w), bool)
+            own[np.asarray(r["genes"]) - 1] = True
+            rng = np.random.default_rng([seed, len(r["genes"]), int(r["genes"][0])])
+            least = {t["other"]: 1.0 for t in r["tests"]}
+            for part in (~own, own):
+                there, place = w[part], np.cumsum(part) - 1
+                known: dict[tuple, np.ndarray] = {}
+                for t in r["tests"]:
+                    at = np.asarray(t["others"]) - 1
+                    at = place[at[part[at]]][None]
+                    size = at.shape[1]
+                    if not 1 <= size < len(there):
+                        continue
+                    up = bool(t["up"])
+                    if (size, up) not in known:
+                        null = deviations(draw_sets(rng, n_perm, len(there), size), there)
+                        known[size, up] = null[0] if up else -null[1]
+                    es = deviations(at, there)
+                    es = es[0][0] if up else -es[1][0]
+                    least[t["other"]] = min(least[t["other"]], (1 + np.count_nonzero(known[size, up] >= es)) / (n_perm + 1))
+            out += [{cluster: r[cluster], "pathway": r["pathway"], "other": o, "min_p": float(p)} for o, p in least.items()]
+        return out
+
+    return _by_scores(jobs, ranks, cluster, ["pathway"], run, {"pathway": ("string", pa.string()), "other": ("string", pa.string()), "min_p": ("double", pa.float64())})
 
 
 def main_sets(order: DataFrame, covers: DataFrame, cluster: str = "cluster") -> DataFrame:
